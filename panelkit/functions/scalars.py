@@ -59,9 +59,25 @@ def safe_double(c) -> Column:
     return F.nanvl(v, F.lit(None).cast("double"))
 
 
+_INT_RE = r"^\s*[+-]?\d+(\.0*)?\s*$"
+
+
 def safe_int(c) -> Column:
-    d = safe_double(c)
-    return F.when(d == F.floor(d), d.try_cast("int"))
+    """Integer-valued text or number -> INT, else NULL (one regex, one cast)."""
+    s = col(c).cast("string")
+    return F.when(s.rlike(_INT_RE), F.trim(s).try_cast("double").try_cast("int"))
+
+
+def to_int(df, name: str) -> Column:
+    """INT view of a column: a plain cast for numbers, ``safe_int`` for text."""
+    from pyspark.sql import types as T
+    dt = df.schema[name].dataType
+    c = F.col(f"`{name}`")
+    if isinstance(dt, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
+        return c.try_cast("int")
+    if isinstance(dt, T.NumericType):
+        return F.when(c == F.floor(c), c.try_cast("int"))
+    return safe_int(c)
 
 
 def year_from_date(c) -> Column:

@@ -38,7 +38,7 @@ def where_in(df: DataFrame, col: str, values) -> DataFrame:
 
 def where_year(df: DataFrame, col: str = "year", lo: int = YEAR_MIN, hi: int = YEAR_MAX) -> DataFrame:
     """Inclusive year range after numeric coercion; NULL / unparsable drop."""
-    return df.where(S.safe_int(F.col(_q(col))).between(lo, hi))
+    return df.where(S.to_int(df, col).between(lo, hi))
 
 
 def topic_predicate(col: str, patterns=tuple(TOPIC_PATTERNS)):

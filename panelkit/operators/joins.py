@@ -44,7 +44,7 @@ def derive_year(votes: DataFrame) -> DataFrame:
     (1945 + session), else the first column named like '*year*'."""
     cols = votes.columns
     if "year" in cols:
-        y = S.safe_int("year")
+        y = S.to_int(votes, "year")
     elif "date" in cols:
         y = S.year_from_date("date")
     elif "session" in cols:
@@ -53,7 +53,7 @@ def derive_year(votes: DataFrame) -> DataFrame:
         yc = C.resolve_like(cols, ["year"])
         if yc is None:
             raise ValueError("derive_year: no year, date, session or *year* column")
-        y = S.safe_int(F.col(f"`{yc}`"))
+        y = S.to_int(votes, yc)
     return votes.withColumn("year", y)
 
 

@@ -62,7 +62,7 @@ def extract_wide_panel(df: DataFrame, keywords=tuple(WIDE_KEYWORDS), lo: int = Y
         return None
     keep = [c for c in df.columns if c not in (code, year)
             and any(k in c.upper() for k in keywords)]
-    y = S.safe_int(F.col(f"`{year}`"))
+    y = S.to_int(df, year)
     return (df.select(S.norm_key(F.col(f"`{code}`")).alias("country_code"), y.alias("year"),
                       *[S.safe_double(F.col(f"`{c}`")).alias(c) for c in keep])
               .where(F.col("year").between(lo, hi)))
@@ -89,8 +89,8 @@ def extract_indicators(df: DataFrame, mapping: dict | None = None, lo: int = YEA
                        *[F.col(f"`{o}`") for o in order_by],
                        *[F.col(f"`{y}`") for y in years])
     long = melt(base, ["country_code", "_code", *order_by], years, "_year", "_value")
-    long = (long.withColumn("_year", S.safe_int("_year"))
-                .where(F.col("_year").between(lo, hi) & F.col("_value").isNotNull()))
+    # year column names were validated as integers in [lo, hi] on the driver
+    long = long.withColumn("_year", F.col("_year").try_cast("int")).where(F.col("_value").isNotNull())
     wide = pivot_first(long, ["country_code", "_year"], "_code", "_value", list(mapping),
                        order_by=order_by, names=mapping)
     return wide.withColumnRenamed("_year", "year")
@@ -116,7 +116,7 @@ def extract_spending(df: DataFrame, lo: int = YEAR_MIN, hi: int = YEAR_MAX,
         return None
     order_by = [order_by] if isinstance(order_by, str) else list(order_by or [])
     out = (df.select(S.norm_key(F.col(f"`{name}`")).alias("country_name"),
-                     S.safe_int(F.col(f"`{year}`")).alias("year"),
+                     S.to_int(df, year).alias("year"),
                      S.safe_double(F.col(f"`{value}`")).alias("military_expenditure"),
                      *[F.col(f"`{o}`") for o in order_by])
              .where(F.col("year").between(lo, hi) & F.col("military_expenditure").isNotNull()))
