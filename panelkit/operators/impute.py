@@ -38,10 +38,13 @@ def impute(df: DataFrame, order_by, threshold: float = SPARSE_THRESHOLD,
            exact_limit: int = ST.EXACT_LIMIT) -> DataFrame:
     """Drop sparse columns, median-impute numeric columns (an all-NULL column
     gets 0), then forward / backward fill what is still missing in
-    ``order_by`` order. Medians come from one statistics job."""
-    cols = sparse_columns(df, threshold, priority)
+    ``order_by`` order. Medians come from one statistics job. The order and
+    partition keys are left as they are (not imputed, not retyped)."""
+    order_by = [order_by] if isinstance(order_by, str) else list(order_by)
+    keys = set(order_by) | set(partition_by)
+    cols = [c for c in sparse_columns(df, threshold, priority) if c not in keys]
     out = df.drop(*cols) if cols else df
-    num = C.numeric_cols(out)
+    num = C.numeric_cols(out, exclude=keys)
     if num:
         med = ST.medians(out, num, exact_limit)
         fill = {}
@@ -53,9 +56,7 @@ def impute(df: DataFrame, order_by, threshold: float = SPARSE_THRESHOLD,
             if not isinstance(out.schema[c].dataType, (T.DoubleType, T.FloatType)):
                 fill[c] = fill[c].cast("double")
         out = out.withColumns(fill)
-    rest = [c for c in out.columns if c not in num]
-    order_by = [order_by] if isinstance(order_by, str) else list(order_by)
-    rest = [c for c in rest if c not in order_by and c not in partition_by]
+    rest = [c for c in out.columns if c not in num and c not in keys]
     if rest:
         out = ffill_bfill(out, rest, order_by, partition_by)
     return out

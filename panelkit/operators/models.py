@@ -286,12 +286,13 @@ def predict(model, df: DataFrame, kind: str, keep=("row_id",), label: str = "lab
 
 
 def train_all(train: DataFrame, kinds=("lr", "dt", "rf", "gbt", "svc", "nb"), grids: dict | None = None,
-              fold_col: str = "fold", parallelism: int = 2) -> dict:
+              fold_col: str = "fold", parallelism: int = 4, k: int = 5) -> dict:
     """Fit every model; a failing model is reported and skipped."""
     out = {}
-    for k in kinds:
+    for kind in kinds:
         try:
-            out[k] = grid_search(k, train, (grids or SMALL_GRIDS).get(k), fold_col, parallelism=parallelism)
+            out[kind] = grid_search(kind, train, (grids or SMALL_GRIDS).get(kind), fold_col,
+                                    parallelism=parallelism, k=k)
         except Exception as e:  # noqa: BLE001 - isolate one model's failure
-            out[k] = e
+            out[kind] = e
     return {k: v for k, v in out.items() if not isinstance(v, Exception)}

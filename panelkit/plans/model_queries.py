@@ -167,3 +167,40 @@ def q_compare_models(spark, d):
     cmp = M.compare(preds)
     best = M.best_model(cmp).select(F.col("model").alias("_best"))
     return cmp.crossJoin(best).withColumn("is_best", F.col("model") == F.col("_best")).drop("_best")
+
+
+# --- whole preparation pipeline on driver-derived inputs -------------------------------------
+
+def pipeline_inputs(spark, d):
+    """votes-like fact (orders x customer x nation, with vote tokens, dates,
+    priorities as topics, alphabetic codes), a wide-by-year indicator table
+    and a spending table, all derived from the driver tables."""
+    from panelkit.plans.queries import _indicator_wide, _spending
+
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority",
+                                         "o_orderstatus", "o_totalprice")
+    c = table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    n = table(spark, d, "nation").select("n_nationkey", "n_name")
+    code = F.concat(F.lit("N"), F.expr("chr(65 + c_nationkey)"), F.lit("X"))
+    votes = (o.join(c, o.o_custkey == c.c_custkey).join(n, F.col("c_nationkey") == n.n_nationkey)
+              .select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
+                      F.col("o_orderpriority").alias("subjects"), code.alias("ms_code"),
+                      F.lower("n_name").alias("ms_name"),
+                      F.when(F.col("o_orderstatus") == "F", "Y").when(F.col("o_orderstatus") == "O", "N")
+                       .otherwise("A").alias("ms_vote"),
+                      F.col("o_totalprice").alias("amount"), F.col("c_acctbal").alias("balance")))
+    wdi = _indicator_wide(spark, d)
+    wdi = wdi.withColumn("Country Code", F.concat(F.lit("N"), F.expr("chr(65 + cast(`Country Code` as int))"),
+                                                  F.lit("X")))
+    return votes, wdi, _spending(spark, d)
+
+
+@query("pipeline_prepare")
+def q_pipeline_prepare(spark, d):
+    """Harmonise -> target encode -> comprehensive clean -> impute."""
+    from panelkit.plans.pipeline import prepare
+    from panelkit.plans.queries import INDICATOR_MAP
+
+    votes, wdi, sp = pipeline_inputs(spark, d)
+    return prepare(votes, wdi, sp, order_by=["o_orderkey"], topic_patterns=["urgent", "HIGH", "medium"],
+                   indicator_mapping=INDICATOR_MAP)

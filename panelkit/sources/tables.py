@@ -7,10 +7,19 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
+# DataFrames are immutable plans: one reader per (session, path) saves the
+# file listing and footer reads every later query would repeat.
+_READERS: dict = {}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Lazy Parquet scan; Catalyst prunes columns and pushes filters into it."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), spark.sparkContext.applicationId, path)
+    df = _READERS.get(key)
+    if df is None:
+        df = _READERS[key] = spark.read.parquet(path)
+    return df
 
 
 def register_all(spark: SparkSession, sf_dir: str, names=TABLES) -> None:
