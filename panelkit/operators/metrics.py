@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.operators.ordered import prefix_sums
+from panelkit.session import cut_lineage
 
 
 def _lab(label):
@@ -55,11 +56,16 @@ def prevalence(df: DataFrame, label: str = "label") -> DataFrame:
 
 def score_table(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """(score, pos, neg) per distinct score, with running cum_pos / cum_neg in
-    descending score order, and class totals P, N."""
+    descending score order, and class totals P, N.
+
+    The tie-collapsed table is written once (reliable checkpoint): sizing the
+    buckets, their bounds, the totals and the windows then read that small
+    table instead of re-running the scoring plan four times."""
     y = _lab(label)
     t = (df.where(F.col(score).isNotNull() & y.isNotNull())
            .groupBy(F.col(score).cast("double").alias("score"))
            .agg(F.sum((y == 1).cast("long")).alias("pos"), F.sum((y != 1).cast("long")).alias("neg")))
+    t = cut_lineage(t)
     cum = prefix_sums(t, "score", ["pos", "neg"], descending=True)
     tot = t.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     return cum.crossJoin(F.broadcast(tot))  # one row
@@ -75,11 +81,19 @@ def roc_curve(df: DataFrame, label: str = "label", score: str = "score") -> Data
     return start.unionByName(pts)
 
 
+def _auc_expr():
+    term = F.col("neg") * (F.col("cum_pos") - F.col("pos") / 2.0)
+    return F.try_divide(F.sum(term), F.first("P") * F.first("N"))
+
+
+def _ap_expr():
+    term = (F.col("pos") / F.col("P")) * (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg")))
+    return F.sum(F.when(F.col("pos") > 0, term))
+
+
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """Trapezoid ROC area; equals the Mann-Whitney U statistic with ties / 2."""
-    st = score_table(df, label, score)
-    term = F.col("neg") * (F.col("cum_pos") - F.col("pos") / 2.0)
-    return st.agg(F.try_divide(F.sum(term), F.first("P") * F.first("N")).alias("roc_auc"))
+    return score_table(df, label, score).agg(_auc_expr().alias("roc_auc"))
 
 
 def pr_curve(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
@@ -96,18 +110,15 @@ def pr_curve(df: DataFrame, label: str = "label", score: str = "score") -> DataF
 
 
 def average_precision(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    st = score_table(df, label, score)
-    term = (F.col("pos") / F.col("P")) * (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg")))
-    return st.agg(F.sum(F.when(F.col("pos") > 0, term)).alias("average_precision"))
+    return score_table(df, label, score).agg(_ap_expr().alias("average_precision"))
 
 
 def evaluate(pred: DataFrame, label: str = "label", prediction: str = "prediction",
              score: str = "score", model: str | None = None) -> DataFrame:
     """Six metrics in one row: accuracy, precision, recall, f1, roc_auc, pr_auc."""
     m = binary_metrics(pred, label, prediction)
-    auc = roc_auc(pred, label, score)
-    ap = average_precision(pred, label, score).withColumnRenamed("average_precision", "pr_auc")
-    out = m.crossJoin(auc).crossJoin(ap)  # one row each
+    ranks = score_table(pred, label, score).agg(_auc_expr().alias("roc_auc"), _ap_expr().alias("pr_auc"))
+    out = m.crossJoin(ranks)  # one row each
     if model is not None:
         out = out.select(F.lit(model).alias("model"), "*")
     return out

@@ -25,7 +25,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol, Param, Params, TypeConverters
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelkit.functions.constants import NB_STD_EPS, SEED
@@ -65,15 +65,26 @@ def gnb_fit(df: DataFrame, label: str, cols, var_smoothing: float = 1e-9) -> Dat
     aggregate for the classes, one global aggregate for the smoothing."""
     cols = list(cols)
     y = F.col(label).cast("double")
-    glob = df.agg(F.greatest(*[F.var_pop(F.col(c).cast("double")) for c in cols], F.lit(0.0)).alias("_mx"),
-                  F.count("*").alias("_n"))
+    # one pass over the data: per-class count, mean, population variance;
+    # the overall variance of each feature (for the smoothing term) follows
+    # from these per-class moments, over a table of one row per class
     per = df.groupBy(y.alias("label")).agg(
         F.count("*").alias("_nc"),
-        F.array(*[F.struct(F.lit(c).alias("feature"), F.avg(F.col(c).cast("double")).alias("mean"),
-                           F.var_pop(F.col(c).cast("double")).alias("var0")) for c in cols]).alias("_s"))
-    j = per.crossJoin(F.broadcast(glob))  # one row
-    return j.select("label", (F.col("_nc") / F.col("_n")).alias("prior"), F.explode("_s").alias("s"),
-                    (F.lit(var_smoothing) * F.col("_mx")).alias("_eps")).select(
+        *[F.avg(F.col(c).cast("double")).alias(f"_m{i}") for i, c in enumerate(cols)],
+        *[F.var_pop(F.col(c).cast("double")).alias(f"_v{i}") for i, c in enumerate(cols)])
+    w = Window.partitionBy()  # over the class table only
+    n = F.sum("_nc").over(w)
+    tot_var = []
+    for i in range(len(cols)):
+        mean = F.sum(F.col("_nc") * F.col(f"_m{i}")).over(w) / n
+        m2 = F.sum(F.col("_nc") * (F.col(f"_v{i}") + F.col(f"_m{i}") * F.col(f"_m{i}"))).over(w) / n
+        tot_var.append(m2 - mean * mean)
+    mx = F.greatest(*tot_var, F.lit(0.0))
+    structs = [F.struct(F.lit(c).alias("feature"), F.col(f"_m{i}").alias("mean"), F.col(f"_v{i}").alias("var0"))
+               for i, c in enumerate(cols)]
+    j = per.select("label", (F.col("_nc") / n).alias("prior"), F.array(*structs).alias("_s"),
+                   (F.lit(var_smoothing) * mx).alias("_eps"))
+    return j.select("label", F.explode("_s").alias("s"), "prior", "_eps").select(
         "label", F.col("s.feature").alias("feature"), "prior", F.col("s.mean").alias("mean"),
         (F.col("s.var0") + F.col("_eps")).alias("var"))
 
