@@ -107,8 +107,11 @@ def q_gnb_importance(spark, d):
 
 def prepared(spark, d):
     """(train, test) with scaled assembled features, folds on train."""
-    df = dq_features(spark, d)
-    train, test = SP.split_frames(df, "label", "doc_id", 0.2, 42)
+    # one cut after the split flag: train, test and the scaler fit all read
+    # it instead of each re-running the text features and the split windows
+    flagged = cut_lineage(SP.stratified_split(dq_features(spark, d), "label", "doc_id", 0.2, 42, "_is_test"))
+    train = flagged.where(~F.col("_is_test")).drop("_is_test")
+    test = flagged.where(F.col("_is_test")).drop("_is_test")
     sc = FE.fit_scaler(train, FEATURES)
     train = FE.apply_scaler(train, sc)
     test = FE.apply_scaler(test, sc)

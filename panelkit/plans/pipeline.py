@@ -73,7 +73,9 @@ def run(votes: DataFrame, indicators: DataFrame | None = None, spending: DataFra
         raise ValueError("no numeric features left")
     ids = id_cols or [c for c in df.columns if c not in feats and c != "vote"]
     out["class_weights"] = ST.class_weights(df, "vote")
-    train, test = SP.split_frames(df, "vote", ids, test_size)
+    flagged = cut_lineage(SP.stratified_split(df, "vote", ids, test_size, column="_is_test"))
+    train = flagged.where(~F.col("_is_test")).drop("_is_test")
+    test = flagged.where(F.col("_is_test")).drop("_is_test")
     scaler = FE.fit_scaler(train, feats)
     train, test = FE.apply_scaler(train, scaler), FE.apply_scaler(test, scaler)
     train = SP.stratified_folds(train, "vote", ids, k)
