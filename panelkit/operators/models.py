@@ -307,3 +307,21 @@ def train_all(train: DataFrame, kinds=("lr", "dt", "rf", "gbt", "svc", "nb"), gr
         except Exception as e:  # noqa: BLE001 - isolate one model's failure
             out[kind] = e
     return {k: v for k, v in out.items() if not isinstance(v, Exception)}
+
+
+def cv_score(kind: str, train: DataFrame, fold_col: str = "fold", k: int = 5, features: str = "features",
+             label: str = "label", seed: int = SEED) -> DataFrame | None:
+    """Default-parameter model scored by k-fold CV: mean ROC-AUC and the
+    mean +- 2 std band; only run when there are more than 2k rows."""
+    n = train.count()
+    if n <= 2 * k:
+        return None
+    defaults = {"lr": {"C": 1.0, "penalty": "l2"}, "dt": {"max_depth": None, "min_samples_leaf": 1},
+                "rf": {"n_estimators": 100, "max_depth": None, "max_features": "sqrt"},
+                "gbt": {"n_estimators": 100, "max_depth": 3, "learning_rate": 0.1, "subsample": 1.0},
+                "svc": {"C": 1.0}, "nb": {"var_smoothing": 1e-9}}
+    _, _, scores = grid_search(kind, train, {p: [v] for p, v in defaults[kind].items()}, fold_col,
+                               features, label, seed=seed, k=k)
+    return scores.select("model", "mean_auc", "std_auc",
+                         (F.col("mean_auc") - 2 * F.col("std_auc")).alias("low"),
+                         (F.col("mean_auc") + 2 * F.col("std_auc")).alias("high"))

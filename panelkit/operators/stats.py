@@ -283,3 +283,42 @@ def eda_tables(df: DataFrame, target: str = "vote", max_bins: int = 30, top_enti
     if target in df.columns:
         out["corr_extremes"] = extremes(target_correlations(df, target), top_n)
     return out
+
+
+def column_summary(df: DataFrame, cols, exact_limit: int = EXACT_LIMIT) -> DataFrame:
+    """Per column: distinct count, min, max, mean, sample std, quartiles and
+    median (exact), share of the most frequent value. Three jobs for all
+    columns together: moments, quantiles, and one (column, value) count
+    table that yields both the distinct counts and the top shares."""
+    cols = list(cols)
+    spark = df.sparkSession
+    aggs = []
+    for c in cols:
+        x = S.nan_to_null(F.col(_q(c)).cast("double"))
+        aggs += [F.min(x).alias(f"lo_{c}"), F.max(x).alias(f"hi_{c}"),
+                 F.avg(x).alias(f"m_{c}"), F.stddev_samp(x).alias(f"s_{c}")]
+    r = df.agg(*aggs).first().asDict()
+    qs = quantiles(df, cols, [0.25, 0.5, 0.75], exact_limit)
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("k"), S.nan_to_null(F.col(_q(c)).cast("double")).alias("v"))
+                                for c in cols]))
+    vc = (df.select(pairs.alias("p")).select("p.*").where(F.col("v").isNotNull())
+            .groupBy("k", "v").agg(F.count("*").alias("n")))
+    per = vc.groupBy("k").agg((F.max("n") / F.sum("n")).alias("s"), F.count("*").alias("d")).collect()
+    share = {x["k"]: x["s"] for x in per}
+    distinct = {x["k"]: x["d"] for x in per}
+    rows = [(c, distinct.get(c, 0), r[f"lo_{c}"], r[f"hi_{c}"], r[f"m_{c}"], r[f"s_{c}"], *qs[c], share.get(c))
+            for c in cols]
+    return spark.createDataFrame(rows, "column string, n_distinct long, min double, max double, mean double, "
+                                       "std double, q1 double, median double, q3 double, top_share double")
+
+
+def audit_table(steps: dict) -> DataFrame:
+    """(step_no, step, rows, cols) for an ordered {step: DataFrame} mapping;
+    one count per step, all in one union plan."""
+    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(
+        F.lit(i).alias("step_no"), F.lit(name).alias("step"), "rows", F.lit(len(df.columns)).alias("cols"))
+        for i, (name, df) in enumerate(steps.items())]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

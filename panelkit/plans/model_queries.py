@@ -207,3 +207,10 @@ def q_pipeline_prepare(spark, d):
     votes, wdi, sp = pipeline_inputs(spark, d)
     return prepare(votes, wdi, sp, order_by=["o_orderkey"], topic_patterns=["urgent", "HIGH", "medium"],
                    indicator_mapping=INDICATOR_MAP)
+
+
+@query("cv_score_nb")
+def q_cv_score_nb(spark, d):
+    """Default-parameter naive Bayes, 5-fold CV ROC-AUC mean +- 2 std (M8)."""
+    tr, _ = prepared(spark, d)
+    return MD.cv_score("nb", tr)

@@ -812,3 +812,121 @@ def q_top_features(spark, d):
     from panelkit.operators.explain import top_per_group
     c = table(spark, d, "documents").groupBy("lang", "source").agg(F.count("*").alias("count"))
     return top_per_group(c, "lang", "count", 3, tiebreak="source")
+
+
+# --- more filters, column operators, summaries ---------------------------------------------
+
+YEAR_TXT_SQL = """
+CASE o_orderkey % 4 WHEN 0 THEN CAST(year(o_orderdate) AS VARCHAR)
+                    WHEN 1 THEN ' ' || CAST(year(o_orderdate) AS VARCHAR) || '.0'
+                    WHEN 2 THEN 'bad'
+                    ELSE CAST(year(o_orderdate) AS VARCHAR) || ' ' END"""
+
+
+@query("year_filter", f"""
+SELECT o_orderkey, o_orderpriority,
+       CAST(CAST(trim({YEAR_TXT_SQL.strip()}) AS DOUBLE) AS INTEGER) AS year
+FROM orders
+WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')
+  AND regexp_full_match(trim({YEAR_TXT_SQL.strip()}), '[+-]?[0-9]+(\\.0*)?')
+  AND CAST(CAST(trim({YEAR_TXT_SQL.strip()}) AS DOUBLE) AS INTEGER) BETWEEN 1996 AND 1999""")
+def q_year_filter(spark, d):
+    """Membership filter (F1) and inclusive year range on year text (F2)."""
+    k = F.col("o_orderkey") % 4
+    y = F.year("o_orderdate").cast("string")
+    txt = (F.when(k == 0, y).when(k == 1, F.concat(F.lit(" "), y, F.lit(".0"))).when(k == 2, F.lit("bad"))
+            .otherwise(F.concat(y, F.lit(" "))))
+    df = table(spark, d, "orders").select("o_orderkey", "o_orderpriority", txt.alias("year"))
+    df = CL.where_year(CL.where_in(df, "o_orderpriority", ["1-URGENT", "2-HIGH"]), "year", 1996, 1999)
+    return df.withColumn("year", S.safe_int("year"))
+
+
+@query("wide_panel", """
+SELECT CAST(s_nationkey AS VARCHAR) AS country_code, CAST(year(l_shipdate) AS INTEGER) AS year,
+       round(avg(l_extendedprice), 6) AS GDP_avg_price, round(sum(l_quantity), 6) AS TRADE_qty
+FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
+WHERE year(l_shipdate) BETWEEN 1996 AND 2000
+GROUP BY 1, 2""")
+def q_wide_panel(spark, d):
+    """Wide-by-indicator input: keyword columns + keys, year bounded (P1)."""
+    li = table(spark, d, "lineitem").select("l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate")
+    s = table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
+    wide = (li.join(s, li.l_suppkey == s.s_suppkey)
+              .groupBy(F.concat(F.lit(" "), F.col("s_nationkey").cast("string")).alias("Country_Code"),
+                       F.year("l_shipdate").cast("string").alias("Year"))
+              .agg(F.avg("l_extendedprice").alias("GDP_avg_price"), F.sum("l_quantity").alias("TRADE_qty"),
+                   F.count("*").alias("other_count")))
+    return _round_doubles(R.extract_wide_panel(wide, lo=1996, hi=2000))
+
+
+@query("drop_irrelevant_cols", """
+SELECT o_custkey AS country, o_totalprice AS vote, o_orderstatus AS status FROM orders""")
+def q_drop_irrelevant_cols(spark, d):
+    """Column-name pattern drop with a keep-list (P8)."""
+    o = table(spark, d, "orders").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("country"),
+        F.col("o_totalprice").alias("vote"), F.col("o_orderpriority").alias("agenda_title"),
+        F.col("o_orderstatus").alias("status"), F.col("o_orderdate").alias("draft_date"))
+    return CL.drop_matching(o)
+
+
+SUMMARY_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _summary_sql() -> str:
+    parts = []
+    for c in SUMMARY_COLS:
+        parts.append(
+            f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS n_distinct, round(min({c}), 6) AS min, "
+            f"round(max({c}), 6) AS max, round(avg({c}), 5) AS mean, round(stddev_samp({c}), 6) AS std, "
+            f"round(quantile_cont({c}, 0.25), 6) AS q1, round(median({c}), 6) AS median, "
+            f"round(quantile_cont({c}, 0.75), 6) AS q3, "
+            f"round((SELECT max(n) FROM (SELECT count(*) AS n FROM lineitem GROUP BY {c})) / count({c}), 6) AS top_share "
+            f"FROM lineitem")
+    return " UNION ALL ".join(parts)
+
+
+@query("column_summary", _summary_sql())
+def q_column_summary(spark, d):
+    """Distinct counts, min / max, mean / std, exact quartiles and median, top
+    share per column (A3, A4, A6-A9).
+
+    The mean is compared at 5 decimals: at sf0.01 the mean of l_discount is
+    exactly 2995.11 / 60000 = 0.0499185, a tie at the 6th decimal that each
+    engine's floating summation order breaks either way."""
+    out = ST.column_summary(table(spark, d, "lineitem"), SUMMARY_COLS)
+    return _round_doubles(out.withColumn("mean", F.round("mean", 5)))
+
+
+@query("clean_audit", f"""
+WITH {DIRTY_EVENTS_SQL.strip()},
+valid AS (SELECT * FROM dirty
+          WHERE tag IS NOT NULL AND tag NOT IN ('', 'NULL', 'null', 'None', 'N/A', 'n/a', 'NA', 'na', 'NaN', 'nan',
+                                                '#N/A', '#VALUE!', '#REF!', '-', '--')
+            AND NOT isinf(amount))
+SELECT 0 AS step_no, 'input' AS step, count(*) AS rows, 4 AS cols FROM dirty
+UNION ALL SELECT 1, 'invalid_rows', count(*), 4 FROM valid
+UNION ALL SELECT 2, 'projected', count(*), 2 FROM valid
+UNION ALL SELECT 3, 'duplicates', count(*), 2 FROM (SELECT DISTINCT tag, gdp_note FROM valid)""")
+def q_clean_audit(spark, d):
+    """Rows and columns after each cleaning step (A18)."""
+    inp = _dirty_events(spark, d)
+    valid = CL.drop_invalid(inp)
+    proj = valid.select("tag", "gdp_note")
+    return ST.audit_table({"input": inp, "invalid_rows": valid, "projected": proj,
+                           "duplicates": CL.remove_duplicates(proj)})
+
+
+@query("eda_top_topics", """
+SELECT CASE WHEN length(topic) > 40 THEN substr(topic, 1, 40) || '...' ELSE topic END AS topic, count
+FROM (SELECT topic, count(*) AS count FROM (
+        SELECT trim(t) AS topic FROM (
+          SELECT unnest(string_split_regex(p_name || ' / ' || p_type || ' / ' || p_brand || ' / ' || p_name || ';' || p_type, '[;,]')) AS t
+          FROM part))
+      WHERE length(topic) > 2 GROUP BY topic ORDER BY count DESC, topic LIMIT 8)""")
+def q_eda_top_topics(spark, d):
+    """Top 8 topics from a delimited subject column, labels cut to 40 chars (E7)."""
+    p = table(spark, d, "part").select(
+        F.concat_ws("", "p_name", F.lit(" / "), "p_type", F.lit(" / "), "p_brand", F.lit(" / "), "p_name",
+                    F.lit(";"), "p_type").alias("subjects"))
+    return ST.eda_tables(p, target="none", top_topics=8)["top_topics"]
