@@ -113,38 +113,53 @@ def drop_sparse(df: DataFrame, threshold: float = SPARSE_THRESHOLD, priority=tup
     return df.drop(*cols) if cols else df
 
 
-def constant_columns(df: DataFrame, threshold: float = CONSTANT_THRESHOLD, approx: bool = False) -> list:
-    """Constant (<= 1 distinct) and near-constant columns.
+def constant_columns(df: DataFrame, threshold: float = CONSTANT_THRESHOLD, rsd: float = 0.05) -> list:
+    """Constant (<= 1 distinct non-NULL value) and near-constant columns.
 
     Near-constant: distinct / rows < 1 - threshold and the top value holds at
-    least ``threshold`` of the non-NULL values. Pass 1 gets every column's
-    distinct count in one job; pass 2 runs only for the candidates, as one
-    grouped count over an (column, value) unpivot.
+    least ``threshold`` of the non-NULL values.
+
+    Pass 1 (one aggregate, no per-column row copies): count, min, max and a
+    HyperLogLog distinct estimate per column. Constant is exact (min = max).
+    The estimate only screens: columns whose estimate is below the cut plus a
+    5-sigma margin go to pass 2, which counts (column, value) pairs (combined
+    map-side, so a dominant value is one partial row per task) and decides
+    with the exact distinct count and top share. An exact ``count_distinct``
+    over all columns would instead copy every row once per column into the
+    shuffle.
     """
     cols = [f.name for f in df.schema.fields
             if not isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType))]
     if not cols:
         return []
-    cd = F.approx_count_distinct if approx else F.count_distinct
-    r = df.agg(F.count(F.lit(1)).alias("_n"), *[cd(F.col(_q(c))).alias(c) for c in cols]).first().asDict()
+    aggs = [F.count(F.lit(1)).alias("_n")]
+    for i, c in enumerate(cols):
+        x = F.col(_q(c))
+        aggs += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
+                 F.approx_count_distinct(x, rsd).alias(f"d{i}")]
+    r = df.agg(*aggs).first().asDict()
     n = r["_n"]
     if not n:
         return []
-    drop = [c for c in cols if r[c] <= 1]
-    cand = [c for c in cols if r[c] > 1 and r[c] / n < (1 - threshold)]
+    cut = (1 - threshold) * n
+    drop, cand = set(), []
+    for i, c in enumerate(cols):
+        if r[f"n{i}"] == 0 or r[f"lo{i}"] == r[f"hi{i}"]:
+            drop.add(c)
+        elif r[f"d{i}"] < cut * (1 + 5 * rsd) + 1:
+            cand.append(c)
     if cand:
         pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("k"), F.col(_q(c)).cast("string").alias("v"))
                                     for c in cand]))
         long = df.select(pairs.alias("p")).select("p.*").where(F.col("v").isNotNull())
         vc = long.groupBy("k", "v").agg(F.count("*").alias("n"))
-        share = vc.groupBy("k").agg((F.max("n") / F.sum("n")).alias("s")).collect()
-        hit = {x["k"] for x in share if x["s"] >= threshold}
-        drop += [c for c in cand if c in hit]
-    return [c for c in cols if c in set(drop)]
+        stats = vc.groupBy("k").agg(F.count("*").alias("d"), (F.max("n") / F.sum("n")).alias("s")).collect()
+        drop |= {x["k"] for x in stats if x["d"] < cut and x["s"] >= threshold}
+    return [c for c in cols if c in drop]
 
 
-def drop_constant(df: DataFrame, threshold: float = CONSTANT_THRESHOLD, approx: bool = False) -> DataFrame:
-    cols = constant_columns(df, threshold, approx)
+def drop_constant(df: DataFrame, threshold: float = CONSTANT_THRESHOLD) -> DataFrame:
+    cols = constant_columns(df, threshold)
     return df.drop(*cols) if cols else df
 
 
