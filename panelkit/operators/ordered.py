@@ -12,6 +12,7 @@ stays bounded (``rows_per_bucket``).
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
@@ -19,6 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BKT = "_bkt"
+TB = "_tb"
+MAX_SPLIT = 1024
 ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 100_000
 
@@ -37,31 +40,55 @@ def _order_key(df: DataFrame, c: str):
     return F.coalesce(k, F.lit(float("-inf")))
 
 
+def tie_break(df: DataFrame):
+    """Deterministic row hash used to order rows whose order keys tie."""
+    cols = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    return F.xxhash64(*[F.col(f"`{c}`") for c in cols])
+
+
 def range_buckets(df: DataFrame, order_col: str, n_buckets: int | None = None,
                   rows_per_bucket: int = ROWS_PER_BUCKET,
                   max_buckets: int = MAX_BUCKETS) -> DataFrame:
-    """Add ``_bkt``: a bucket index that is monotone in ``order_col``.
+    """Add ``_bkt`` (bucket index) and ``_tb`` (row hash). Ordering rows by
+    (order keys, ``_tb``) is ordering them by ``_bkt`` first: buckets are
+    ranges of ``order_col``, and a value that fills whole buckets on its own
+    (it repeats among the approximate bounds, e.g. one key holding a third of
+    all rows) gets buckets of its own, split by ranges of ``_tb``. So no
+    bucket grows beyond about ``rows_per_bucket`` rows, hot value or not.
 
     Small inputs (one bucket) cost a single count and no bounds job.
     """
     key = _order_key(df, order_col)
+    out = df.withColumn(TB, tie_break(df))
     if n_buckets is None:
         n = df.count()
         n_buckets = max(1, min(max_buckets, math.ceil(n / rows_per_bucket)))
     if key is None or n_buckets <= 1:
-        return df.withColumn(BKT, F.lit(0))
+        return out.withColumn(BKT, F.lit(0))
     probs = [i / n_buckets for i in range(1, n_buckets)]
     acc = max(10_000, 10 * n_buckets)
-    with_key = df.withColumn("_okey", key)
+    with_key = out.withColumn("_okey", key)
     bounds = with_key.select(
         F.percentile_approx("_okey", probs, acc).alias("b")).first()["b"] or []
-    splits = sorted({float(b) for b in bounds if b is not None and math.isfinite(b)})
-    splits = [float("-inf"), *splits, float("inf")]
+    vals = [float(b) for b in bounds if b is not None and math.isfinite(b)]
+    reps = Counter(vals)
+    hot = {v: min(MAX_SPLIT, c + 1) for v, c in reps.items() if c >= 2}
+    points = set(vals) | {math.nextafter(v, math.inf) for v in hot}
+    splits = [float("-inf"), *sorted(points), float("inf")]
     if len(splits) < 3:
-        return df.withColumn(BKT, F.lit(0))
-    out = Bucketizer(splits=splits, inputCol="_okey", outputCol="_bktd",
-                     handleInvalid="keep").transform(with_key)
-    return out.withColumn(BKT, F.col("_bktd").cast("int")).drop("_okey", "_bktd")
+        return out.withColumn(BKT, F.lit(0))
+    major = Bucketizer(splits=splits, inputCol="_okey", outputCol="_bktd",
+                       handleInvalid="keep").transform(with_key)
+    major_col = F.col("_bktd").cast("int")
+    if not hot:
+        return major.withColumn(BKT, major_col).drop("_okey", "_bktd")
+    # bucket [v, next(v)) holds exactly the hot value v: split it by _tb ranges
+    parts = {splits.index(v): m for v, m in hot.items()}
+    width = max(parts.values())
+    m = F.create_map(*[x for i, k in parts.items() for x in (F.lit(i), F.lit(k))])[major_col]
+    frac = F.col(TB).cast("double") / F.lit(2.0 ** 64) + F.lit(0.5)
+    minor = F.when(m.isNotNull(), F.least(F.floor(frac * m).cast("int"), m - 1)).otherwise(F.lit(0))
+    return major.withColumn(BKT, major_col * F.lit(width) + minor).drop("_okey", "_bktd")
 
 
 def _ordered(cols, descending):
@@ -81,7 +108,7 @@ def prefix_sums(df: DataFrame, order_by, value_cols, partition_by=(), descending
                                         .alias(f"_c_{v}") for v in value_cols])
     if not part:
         carry = F.broadcast(carry)  # one row per bucket, at most max_buckets
-    wl = (Window.partitionBy(*part, BKT).orderBy(*_ordered(order_by, descending))
+    wl = (Window.partitionBy(*part, BKT).orderBy(*_ordered([*order_by, TB], descending))
           .rowsBetween(Window.unboundedPreceding, 0))
     local = b.select("*", *[F.sum(v).over(wl).alias(f"_l_{v}") for v in value_cols])
     out = local.join(carry, [*part, BKT], "left")
@@ -99,7 +126,7 @@ def ordered_fill(df: DataFrame, cols, order_by, partition_by=(), direction: str
         return df
     fwd = direction == "forward"
     b = range_buckets(df, order_by[0], n_buckets)
-    okey = [F.col(o) for o in order_by]
+    okey = [F.col(o) for o in order_by] + [F.col(TB)]
     # per bucket: last (forward) / first (backward) non-NULL value in order
     pick = F.max if fwd else F.min
     summ = b.groupBy(*part, BKT).agg(*[
@@ -115,11 +142,11 @@ def ordered_fill(df: DataFrame, cols, order_by, partition_by=(), direction: str
     if not part:
         carry = F.broadcast(carry)
     if fwd:
-        wl = (Window.partitionBy(*part, BKT).orderBy(*_ordered(order_by, False))
+        wl = (Window.partitionBy(*part, BKT).orderBy(*_ordered([*order_by, TB], False))
               .rowsBetween(Window.unboundedPreceding, 0))
         local = [F.last(c, ignorenulls=True).over(wl) for c in cols]
     else:
-        wl = (Window.partitionBy(*part, BKT).orderBy(*_ordered(order_by, False))
+        wl = (Window.partitionBy(*part, BKT).orderBy(*_ordered([*order_by, TB], False))
               .rowsBetween(0, Window.unboundedFollowing))
         local = [F.first(c, ignorenulls=True).over(wl) for c in cols]
     filled = b.select("*", *[e.alias(f"_l_{c}") for e, c in zip(local, cols)])
@@ -148,7 +175,7 @@ def ffill_bfill(df: DataFrame, cols, order_by, partition_by=(), n_buckets=None)
     if not cols:
         return df
     part = list(partition_by)
-    okey = [F.col(o) for o in order_by]
+    okey = [F.col(o) for o in order_by] + [tie_break(df)]
     firsts = df.groupBy(*part).agg(*[
         F.min(F.when(F.col(c).isNotNull(), F.struct(*okey, F.col(c).alias("_v")))).getField("_v")
         .alias(f"_f_{c}") for c in cols])

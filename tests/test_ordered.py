@@ -56,3 +56,23 @@ def test_bucketed_quantiles_equal_exact(spark):
 def test_median_even_count(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (4.0,)], "x double")
     assert ST.medians(df, ["x"])["x"] == 2.5
+
+
+def test_hot_value_is_split_and_fill_is_exact(spark):
+    # 40% of the rows share one order value: it must not land in one bucket
+    n = 5000
+    df = spark.range(0, n).select(
+        F.col("id"), F.when(F.col("id") % 5 < 2, F.lit(1000)).otherwise(F.col("id")).alias("k"),
+        F.when(F.col("id") % 7 == 0, F.col("id") * 1.0).alias("v"))
+    b = O.range_buckets(df, "k", n_buckets=10)
+    hot = b.where("k = 1000").select("_bkt").distinct().count()
+    assert hot > 1
+    largest = b.groupBy("_bkt").count().agg(F.max("count")).first()[0]
+    assert largest < 0.4 * n
+    tb = O.tie_break(df)
+    w1 = Window.orderBy("k", tb).rowsBetween(Window.unboundedPreceding, 0)
+    w2 = Window.orderBy("k", tb).rowsBetween(0, Window.unboundedFollowing)
+    want = {r.id: r.v for r in df.withColumn("v", F.coalesce(F.last("v", True).over(w1),
+                                                               F.first("v", True).over(w2))).collect()}
+    got = {r.id: r.v for r in O.ffill_bfill(df, ["v"], ["k"], n_buckets=10).collect()}
+    assert got == want
