@@ -39,9 +39,12 @@ def stratified_rank(df: DataFrame, label: str, id_cols, seed: int = SEED) -> Dat
     hb = df.withColumn("_h", hash_key(id_cols, seed)).withColumn("_hb", F.substring("_h", 1, PREFIX_HEX))
     cnt = hb.groupBy(label, "_hb").agg(F.count("*").alias("_c"))
     wc = Window.partitionBy(label).orderBy("_hb").rowsBetween(Window.unboundedPreceding, -1)
-    cnt = cnt.select(label, "_hb", F.coalesce(F.sum("_c").over(wc), F.lit(0)).alias("_before"),
+    cnt = cnt.select(F.col(label).alias("_lab"), F.col("_hb").alias("_hb2"),
+                     F.coalesce(F.sum("_c").over(wc), F.lit(0)).alias("_before"),
                      F.sum("_c").over(Window.partitionBy(label)).alias("_n_class"))
-    j = hb.join(cnt, [label, "_hb"], "inner")
+    # null-safe: rows with a NULL label form their own class, none is dropped
+    j = hb.join(cnt, hb[label].eqNullSafe(cnt["_lab"]) & (hb["_hb"] == cnt["_hb2"]), "inner")
+    j = j.drop("_lab", "_hb2")
     wl = Window.partitionBy(label, "_hb").orderBy("_h", *id_cols)
     out = j.withColumn("_rank", F.col("_before") + F.row_number().over(wl) - 1)
     return out.drop("_hb", "_before")

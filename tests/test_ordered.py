@@ -76,3 +76,10 @@ def test_hot_value_is_split_and_fill_is_exact(spark):
                                                                F.first("v", True).over(w2))).collect()}
     got = {r.id: r.v for r in O.ffill_bfill(df, ["v"], ["k"], n_buckets=10).collect()}
     assert got == want
+
+
+def test_null_partition_key(spark):
+    rows = [(1, None, 1.0), (2, None, None), (3, "a", None), (4, "a", 2.0), (5, None, None)]
+    df = spark.createDataFrame(rows, "id int, g string, v double")
+    got = {r.id: r.v for r in O.ffill_bfill(df, ["v"], ["id"], ["g"], n_buckets=2).collect()}
+    assert got == {1: 1.0, 2: 1.0, 3: 2.0, 4: 2.0, 5: 1.0}

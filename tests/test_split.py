@@ -30,3 +30,11 @@ def test_sample_n(spark):
     df = spark.range(0, 5000)
     a = [r.id for r in SP.sample_n(df, 50, "id").collect()]
     assert len(a) == 50 and a == [r.id for r in SP.sample_n(df, 50, "id").collect()]
+
+
+def test_null_labels_kept(spark):
+    df = spark.range(0, 100).select("id", F.when(F.col("id") % 10 == 0, F.lit(None))
+                                    .otherwise(F.col("id") % 2).alias("y"))
+    s = SP.stratified_split(df, "y", "id", 0.2)
+    assert s.count() == 100
+    assert s.where("y is null and is_test").count() == 2
