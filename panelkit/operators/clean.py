@@ -11,7 +11,6 @@ import re
 from functools import reduce
 from operator import or_
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -287,11 +286,14 @@ def comprehensive_clean(df: DataFrame, remove_duplicates_: bool = True, remove_o
                         remove_constants: bool = True, clean_invalid: bool = True,
                         standardize_countries: bool = True, remove_irrelevant: bool = True,
                         clean_text: bool = True, convert_types_: bool = True,
-                        outlier_strictness: str = "moderate", persist: bool = True) -> DataFrame:
+                        outlier_strictness: str = "moderate", cut: bool = True) -> DataFrame:
     """Fixed order: irrelevant columns -> text -> types -> invalid rows ->
     codes -> constant columns -> duplicates -> outliers. Falls back to the
-    input if nothing is left. The frame is persisted before the statistics
-    passes so they do not re-run the scan."""
+    input if nothing is left.
+
+    With ``cut`` the frame is checkpointed (reliable, shared folder) after
+    the duplicate removal: the emptiness checks and the outlier statistics
+    then read the checkpoint instead of re-running that shuffle each time."""
     if df.isEmpty():
         raise ValueError("comprehensive_clean: empty input")
     out = df
@@ -299,20 +301,19 @@ def comprehensive_clean(df: DataFrame, remove_duplicates_: bool = True, remove_o
         out = drop_matching(out)
     if clean_text:
         out = clean_text_columns(out)
-    if persist:
-        out = out.persist(StorageLevel.MEMORY_AND_DISK)
     if convert_types_:
         out = convert_types(out)
     if clean_invalid:
         out = drop_invalid(out)
     if standardize_countries:
         out = standardize_codes(out)
-    if persist:
-        out = out.persist(StorageLevel.MEMORY_AND_DISK)
     if remove_constants:
         out = drop_constant(out)
     if remove_duplicates_:
         out = remove_duplicates(out)
+    if cut:
+        from panelkit.session import cut_lineage
+        out = cut_lineage(out)
     if remove_outliers_ and not out.isEmpty():
         out = remove_outliers(out, strictness=outlier_strictness)
     if out.isEmpty():

@@ -165,7 +165,8 @@ class GaussianNB(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol):
         self._set(**self._input_kwargs)
 
     def _fit(self, df):
-        n = len(df.select(self.getFeaturesCol()).first()[0])
+        meta = df.schema[self.getFeaturesCol()].metadata.get("ml_attr", {})
+        n = meta.get("num_attrs") or len(df.select(self.getFeaturesCol()).first()[0])
         arr = vector_to_array(F.col(self.getFeaturesCol()))
         cols = [f"f{i}" for i in range(n)]
         flat = df.select(F.col(self.getLabelCol()).alias("label"), *[arr[i].alias(c) for i, c in enumerate(cols)])

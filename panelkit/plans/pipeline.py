@@ -54,7 +54,7 @@ def prepare(votes: DataFrame, indicators: DataFrame | None = None, spending: Dat
     # the cleaning statistics passes (types, constants, outliers) all re-read
     # this: cut here so they start from the checkpoint, not from the scans
     h = cut_lineage(h)
-    cleaned = cut_lineage(CL.comprehensive_clean(h, outlier_strictness=outlier_strictness, persist=False))
+    cleaned = cut_lineage(CL.comprehensive_clean(h, outlier_strictness=outlier_strictness))
     order = order_by or [c for c in cleaned.columns if c != "vote"][:1]
     return IM.impute(cleaned, order_by=order)
 
