@@ -128,14 +128,64 @@ def _fit_eval(kind: str):
         tr, te = prepared(spark, d)
         model, params, _ = MD.grid_search(kind, tr, MD.SMALL_GRIDS[kind])
         pred = MD.predict(model, te, kind, keep=("doc_id",))
-        return M.evaluate(pred, model=MD.MODEL_NAMES[kind])
+        out = M.evaluate(pred, model=MD.MODEL_NAMES[kind])
+        return out.select("model", *[F.round(c, 6).alias(c) for c in out.columns if c != "model"])
     run.__name__ = f"q_{kind}_metrics"
     return run
 
 
-for _k in ("lr", "dt", "rf", "gbt", "svc", "nb"):
+for _k in ("lr", "dt", "rf", "gbt", "svc"):
     query(f"{_k}_metrics")(_fit_eval(_k))
 
+_SHARES = ["letter_share", "digit_share", "space_share", "upper_share"]
+_Z = ", ".join(f"({c} - m{i}) / CASE WHEN s{i} IS NULL OR s{i} = 0 THEN 1 ELSE s{i} END AS f{i}"
+               for i, c in enumerate(_SHARES))
+_SC = ", ".join(f"avg({c}) AS m{i}, stddev_pop({c}) AS s{i}" for i, c in enumerate(_SHARES))
+_LONG = " UNION ALL ".join(f"SELECT doc_id, label, is_test, 'f{i}' AS feature, f{i} AS x FROM z"
+                           for i in range(len(_SHARES)))
+NB_METRICS_SQL = f"""
+WITH {DQF_SQL.strip()},
+r AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5(CAST(doc_id AS VARCHAR) || '-42'), doc_id) - 1 AS rk,
+             count(*) OVER (PARTITION BY label) AS nc FROM dqf),
+s AS (SELECT *, rk < round(0.2 * nc) AS is_test FROM r),
+sc AS (SELECT {_SC} FROM s WHERE NOT is_test),
+z AS (SELECT doc_id, label, is_test, {_Z} FROM s, sc),
+long AS ({_LONG}),
+tr AS (SELECT * FROM long WHERE NOT is_test),
+gs AS (SELECT max(v) AS mx, max(n) AS n FROM (SELECT var_pop(x) AS v, count(*) AS n FROM tr GROUP BY feature)),
+fit AS (SELECT label, feature, count(*) / max(gs.n) AS prior, avg(x) AS mean, var_pop(x) + 1e-9 * greatest(max(gs.mx), 0) AS var
+        FROM tr, gs GROUP BY label, feature),
+jll AS (SELECT l.doc_id, f.label,
+               ln(max(f.prior)) - sum(0.5 * ln(2 * pi() * f.var) + (l.x - f.mean) * (l.x - f.mean) / (2 * f.var)) AS j
+        FROM long l JOIN fit f ON l.feature = f.feature WHERE l.is_test GROUP BY l.doc_id, f.label),
+p AS (SELECT j.doc_id, max(z.label) AS label,
+             max(CASE WHEN j.label = 0 THEN j END) AS j0, max(CASE WHEN j.label = 1 THEN j END) AS j1
+      FROM jll j JOIN z ON j.doc_id = z.doc_id GROUP BY j.doc_id),
+pred AS (SELECT doc_id, label, CASE WHEN j1 - j0 > 0 THEN 1.0 ELSE 0.0 END AS prediction,
+                CASE WHEN j0 - j1 > 700 THEN 0.0 ELSE 1.0 / (1.0 + exp(j0 - j1)) END AS score FROM p),
+c AS (SELECT sum(CASE WHEN label = 1 AND prediction = 1 THEN 1 ELSE 0 END) AS tp,
+             sum(CASE WHEN label = 0 AND prediction = 1 THEN 1 ELSE 0 END) AS fp,
+             sum(CASE WHEN label = 0 AND prediction = 0 THEN 1 ELSE 0 END) AS tn,
+             sum(CASE WHEN label = 1 AND prediction = 0 THEN 1 ELSE 0 END) AS fn FROM pred),
+st AS (SELECT score, sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS pos, sum(CASE WHEN label = 1 THEN 0 ELSE 1 END) AS neg
+       FROM pred GROUP BY score),
+cum AS (SELECT score, pos, neg,
+               sum(pos) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_pos,
+               sum(neg) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_neg,
+               sum(pos) OVER () AS P, sum(neg) OVER () AS N FROM st),
+rk AS (SELECT sum(neg * (cum_pos - pos / 2.0)) / (max(P) * max(N)) AS roc_auc,
+              sum(CASE WHEN pos > 0 THEN (pos / P) * (cum_pos / (cum_pos + cum_neg)) END) AS pr_auc FROM cum)
+SELECT 'Naive Bayes' AS model,
+       round(coalesce((tp + tn) / nullif(tp + fp + tn + fn, 0), 0), 6) AS accuracy,
+       round(coalesce(tp / nullif(tp + fp, 0), 0), 6) AS precision,
+       round(coalesce(tp / nullif(tp + fn, 0), 0), 6) AS recall,
+       round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 6) AS f1,
+       round(roc_auc, 6) AS roc_auc, round(pr_auc, 6) AS pr_auc
+FROM c, rk"""
+
+# Naive Bayes is pure arithmetic, so its whole train / test evaluation has an oracle
+query("nb_metrics", NB_METRICS_SQL)(_fit_eval("nb"))
+
 
 @query("grid_scores")
 def q_grid_scores(spark, d):
