@@ -1,12 +1,10 @@
 """Joins of the fact table with indicator panels, and the harmonise step.
 
 Panels are keyed by (entity, year); their size is bounded by entities x
-years, not by the fact table. Still, no broadcast is forced: Catalyst
-broadcasts a side whose estimated size is under
-``spark.sql.autoBroadcastJoinThreshold`` and AQE switches a sort-merge join
-to broadcast at run time once it has measured the shuffled panel, so a panel
-that turns out large keeps the sort-merge plan instead of overloading
-executors. ``broadcast=True`` is for callers that have checked the size.
+years, not by the fact table. ``join_panel`` measures the panel (written
+once to the checkpoint folder, then counted) and broadcasts it only under a
+byte limit; beyond it the planner's join stays, so a panel that turns out
+large never overloads executors.
 """
 
 from __future__ import annotations
@@ -22,13 +20,30 @@ from panelkit.operators import clean as CL
 from panelkit.operators import reshape as R
 
 
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+
+
 def join_panel(fact: DataFrame, panel: DataFrame, keys=("country_code", "year"),
-               broadcast: bool | None = None, suffix: str = "_panel") -> DataFrame:
-    """Left equi-join; overlapping non-key panel columns get ``suffix``."""
+               broadcast: bool | None = None, suffix: str = "_panel",
+               max_broadcast_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Left equi-join; overlapping non-key panel columns get ``suffix``.
+
+    ``broadcast=None`` (default) checks the size: the panel is written once
+    to the checkpoint folder, its rows are counted, and it is broadcast when
+    rows x columns stays under ``max_broadcast_bytes``. So the fact table is
+    never shuffled for a small panel (AQE alone would switch to a broadcast
+    only after the fact side had been shuffled). A larger panel keeps the
+    planner's join (sort-merge, with AQE skew splitting of hot fact keys).
+    """
     keys = list(keys)
     clash = [c for c in panel.columns if c in fact.columns and c not in keys]
     if clash:
         panel = panel.withColumnsRenamed({c: c + suffix for c in clash})
+    if broadcast is None:
+        from panelkit.session import cut_lineage
+        panel = cut_lineage(panel)
+        est = panel.count() * (8 * len(panel.columns) + 32)
+        broadcast = est <= max_broadcast_bytes
     if broadcast:
         panel = F.broadcast(panel)
     return fact.join(panel, keys, "left")
