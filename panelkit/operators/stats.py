@@ -99,13 +99,12 @@ def _bucketed_quantiles(df: DataFrame, cols, probs, counts) -> dict:
     distinct = sel.groupBy("k", "b", "v").agg(F.count("*").alias("n"))
     w = Window.partitionBy("k", "b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = distinct.withColumn("hi", F.sum("n").over(w)).withColumn("lo", F.col("hi") - F.col("n"))
-    ranked = ranked.collect()
-    value_at = {}
-    for k, b, local, glob in need:
-        for r in ranked:
-            if r["k"] == k and r["b"] == b and r["lo"] <= local < r["hi"]:
-                value_at[(k, glob)] = r["v"]
-                break
+    # only the rows holding a wanted rank reach the driver (one per wanted rank)
+    wanted_df = df.sparkSession.createDataFrame(need, "k int, b int, local long, glob long")
+    hits = (ranked.join(F.broadcast(wanted_df), ["k", "b"])
+                  .where((F.col("lo") <= F.col("local")) & (F.col("local") < F.col("hi")))
+                  .select("k", "glob", "v").collect())
+    value_at = {(r["k"], r["glob"]): r["v"] for r in hits}
     out = {}
     for i, c in enumerate(cols):
         n, res = counts[c], []
