@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,11 +66,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder.
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and
+    return a scan of it.
 
-    Survives executor loss (unlike a local checkpoint) and keeps long
-    cleaning chains from re-running their whole lineage on every action.
+    Survives executor loss (the files live in the shared folder, unlike a
+    local checkpoint) and keeps long chains from re-running their lineage on
+    every action. Compared with ``DataFrame.checkpoint()`` it costs one job
+    instead of two (an eager reliable checkpoint computes the plan once to
+    count and again to write), and later reads are columnar scans with
+    column pruning and filter pushdown.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/panelkit-cut-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
