@@ -2,7 +2,6 @@
 
 import math
 
-from pyspark.sql import functions as F
 
 from panelkit.operators import clean as CL
 

@@ -2,7 +2,6 @@
 neutral output)."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from panelkit.operators import clean as CL
 from panelkit.operators import impute as IM

@@ -1,6 +1,5 @@
 """Reshape and joins (fixtures F-B, F-D) and the harmonise step."""
 
-from pyspark.sql import functions as F
 
 from panelkit.operators import joins as J
 from panelkit.operators import reshape as R
