@@ -86,7 +86,8 @@ SELECT doc_id, CAST(CASE WHEN j1 - j0 > 0 THEN 1 ELSE 0 END AS DOUBLE) AS predic
        round(CASE WHEN j0 - j1 > 700 THEN 0.0 ELSE 1.0 / (1.0 + exp(j0 - j1)) END, 6) AS score
 FROM p""")
 def q_gnb_predict(spark, d):
-    df = dq_features(spark, d)
+    # fit and predict both read the features: extract them from the texts once
+    df = cut_lineage(dq_features(spark, d))
     params = MD.gnb_params(MD.gnb_fit(df, "label", FEATURES, 1e-9))
     p = MD.gnb_predict(df, params)
     return p.select("doc_id", "prediction", F.round("score", 6).alias("score"))
