@@ -217,8 +217,7 @@ def estimator(kind: str, n_train: int, features: str = "features", label: str =
             return {est.maxIter: p["n_estimators"], est.maxDepth: p["max_depth"],
                     est.stepSize: p["learning_rate"], est.subsamplingRate: p["subsample"]}
     elif kind == "svc":
-        est = LinearSVC(featuresCol=features, labelCol=label, maxIter=min(max_iter, 100), tol=SOLVER_TOL,
-                        standardization=False, **wc)
+        est = LinearSVC(featuresCol=features, labelCol=label, maxIter=min(max_iter, 100), tol=SOLVER_TOL, **wc)
 
         def pm(p):
             return {est.regParam: 1.0 / (p["C"] * max(n_train, 1))}
