@@ -83,3 +83,11 @@ def test_null_partition_key(spark):
     df = spark.createDataFrame(rows, "id int, g string, v double")
     got = {r.id: r.v for r in O.ffill_bfill(df, ["v"], ["id"], ["g"], n_buckets=2).collect()}
     assert got == {1: 1.0, 2: 1.0, 3: 2.0, 4: 2.0, 5: 1.0}
+
+
+def test_bucketed_quantiles_with_hot_value(spark):
+    df = spark.range(0, 6000).select(
+        F.when(F.col("id") % 5 < 2, F.lit(7.0)).otherwise((F.col("id") * 37 % 1009).cast("double")).alias("x"))
+    exact = ST.quantiles(df, ["x"], [0.1, 0.25, 0.5, 0.75, 0.9])
+    forced = ST.quantiles(df, ["x"], [0.1, 0.25, 0.5, 0.75, 0.9], exact_limit=0)
+    assert all(math.isclose(a, b, rel_tol=1e-12) for a, b in zip(exact["x"], forced["x"]))

@@ -67,3 +67,14 @@ def test_null_profile_and_hist(spark):
     assert prof == {"a": (4, 4, 100.0), "b": (3, 4, 75.0)}
     h = {r.bin: r["count"] for r in ST.histogram(df, "a", 30).collect()}
     assert h == {0: 1, 1: 1, 2: 1, 3: 1}
+
+
+def test_join_panel_size_check_paths(spark):
+    fact = spark.createDataFrame([("A", 1), ("A", 2), ("B", 1), ("C", 9)], "country_code string, year int")
+    panel = spark.createDataFrame([("A", 1, 1.5), ("B", 1, 2.5)], "country_code string, year int, v double")
+    small = J.join_panel(fact, panel)                            # measured, broadcast
+    large = J.join_panel(fact, panel, max_broadcast_bytes=1)     # measured, over the limit
+    plain = J.join_panel(fact, panel, broadcast=False)           # planner's choice
+    norm = lambda d: sorted(map(tuple, d.collect()), key=str)
+    assert norm(small) == norm(large) == norm(plain)
+    assert len(norm(small)) == 4
