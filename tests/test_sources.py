@@ -62,3 +62,11 @@ def test_write_results(spark, dirs):
     out = tempfile.mkdtemp(prefix="pk-out-")
     paths = write_results({"a": spark.range(5), "skip": 3}, out)
     assert len(paths) == 1 and spark.read.parquet(paths[0]).count() == 5
+
+
+def test_load_by_priority_pattern_walk(spark, dirs):
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    _write_csv(orders.select("o_orderkey").limit(3), f"{dirs}/wdi_walk/a.csv")
+    _write_csv(orders.select("o_orderkey", "o_orderstatus"), f"{dirs}/wdi_walk/deep/WDI_Data_2023.csv")
+    got = CSV.load_by_priority(spark, f"{dirs}/wdi_walk", min_bytes=10, min_rows=5)
+    assert got.columns == ["o_orderkey", "o_orderstatus"] and got.count() == 1500
