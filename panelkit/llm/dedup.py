@@ -2,20 +2,18 @@
 
 Records are dealt to buckets by a hash of their normalised text (A-Z lower-cased)
 until a bucket fits in memory, and each bucket is run through an open-addressing
-table that compares complete contents. Spark's shuffle files are the spill
-files; a bucket is a shuffle partition.
+table that compares complete contents. Spark's shuffle files are the spill files.
 
-``exact_groups`` works in levels. A level measures, on narrow columns, the bytes
-under each hash. The number of buckets is doubled until the largest bucket of
-ordinary hashes fits. A hash that alone holds more than a bucket (a group of
-many copies) can't be split by hashing, so its records are dealt to several
-buckets by their id. Each bucket then has the texts of such a hash once, as a
-record that stands for its rows, and these records go to the next level. A
-level leaves one record per (hash, bucket), so the levels end after two or
-three. Every text travels once, and only split hashes send a text again.
+Level 0 takes the records as the input files deal them: each task's table finds
+the copies it holds and leaves, for each distinct text, one record that stands
+for its rows. So a text with very many copies is one record per task before
+anything is shuffled. ``_merge`` deals these records to buckets by hash. The
+number of buckets is doubled until the largest fits. If one hash alone holds
+more than a bucket, doubling can't help: its records are dealt by hash and a
+salt, collapsed, and merged again, which leaves one record per salt.
 
-Memory: a bucket's table holds each distinct text once; rows only leave their
-(id, class) behind until the bucket ends.
+Memory: a table holds each distinct text of its bucket once and is emptied
+beyond ``BUCKET_BYTES``; rows leave only their (id, class) behind.
 
 Result: ``keep_id`` is the largest id of equal texts, ``group_size`` their
 number, ``kept`` marks one row. A null text counts as empty. Null ids are below
@@ -27,20 +25,23 @@ empty table gives an empty result. Extra columns are carried on request.
 from __future__ import annotations
 
 import hashlib
+import sys
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelkit.llm.tables import cut_lineage, read
-from panelkit.llm.text import fold_case, text_buffer, slices
+from panelkit.llm.text import FOLD, fold_case, slices, text_buffer
 
 #: Bytes of records in a bucket, and what a record counts besides its text.
 BUCKET_BYTES = 64 << 20
 RECORD_BYTES = 64
 NO_ID = -(1 << 63)
+FOLD_BYTES = FOLD.tobytes()
 
 
 class ContentTable:
@@ -74,139 +75,116 @@ class ContentTable:
         return len(self.contents) - 1
 
 
-def _bucket_task(batches, carry: list[str]):
-    """One bucket: rows (top, n, row, h, parts, part, content, *carry) to rows with their class.
+def _collapse_task(batches, carry: list[str], limit: int):
+    """Rows (row, top, n, content, *carry) to rows with their class.
 
-    Of each class: ``keep`` (largest top), ``size``, and ``first`` on the one
-    record that has it. A split class also gets a ``name``, unique among all
-    buckets, and its content on that record.
+    Of each class: ``name`` (unique among all tasks), ``keep`` (largest top),
+    ``size`` and the digest; ``first`` marks the record that has ``keep``, and
+    that one also brings its content.
     """
-    table, classes, rows, kept, names = ContentTable(), [], [], [], {}
-    best: list[tuple] = []
-    size: list[int] = []
-    split: list[bool] = []
+    task = TaskContext.get().partitionId()
+    held, table, rows, tables = 0, ContentTable(), [], 0
     for batch in batches:
         for piece in slices(batch, "content"):
             data, offsets = text_buffer(piece.column("content"))
-            cols = [piece.column(c).to_pylist() for c in ("h", "top", "n", "parts", "part")]
-            for k, (h, top, n, parts, part) in enumerate(zip(*cols)):
-                c = table.add(h, data[offsets[k]:offsets[k + 1]].tobytes())
-                if c == len(best):
-                    seen = names[(h, part)] = names.get((h, part), -1) + 1
-                    best.append((NO_ID - 1, -1))
-                    size.append(0)
-                    split.append(f"{h}:{part}:{seen}" if parts > 1 else None)
-                size[c] += n
-                best[c] = max(best[c], (NO_ID if top is None else top, -len(rows)))
-                rows.append(top)
-                classes.append(c)
-            kept.append(piece.select(["row", *carry]))
-    if not rows:
-        return
+            own = []
+            for k in range(piece.num_rows):
+                text = data[offsets[k]:offsets[k + 1]].tobytes().translate(FOLD_BYTES)
+                own.append(table.add(hash(text), text))
+            rows.append((piece, own))
+            held += len(data)
+            if held > limit:
+                yield from _leave(table, rows, carry, f"{task}.{tables}")
+                held, table, rows, tables = 0, ContentTable(), [], tables + 1
+    if rows:
+        yield from _leave(table, rows, carry, f"{task}.{tables}")
+
+
+def _leave(table: ContentTable, rows: list, carry: list[str], name: str):
+    n = len(table.contents)
+    best, size, at = [(NO_ID - 1, 0)] * n, [0] * n, 0
+    for piece, own in rows:
+        for c, top, k in zip(own, piece.column("top").to_pylist(), piece.column("n").to_pylist()):
+            best[c] = max(best[c], (NO_ID if top is None else top, -at))
+            size[c] += k
+            at += 1
     digest = [hashlib.sha256(x).hexdigest() for x in table.contents]
     at = 0
-    for piece in kept:
-        for lo in range(0, piece.num_rows, 2000):
-            part = piece.slice(lo, 2000)
-            ids = range(at, at + part.num_rows)
-            at += part.num_rows
-            own = [classes[i] for i in ids]
-            first = [best[c][1] == -i for i, c in zip(ids, own)]
-            out = {
-                "row": part.column("row"), "top": pa.array([rows[i] for i in ids], pa.int64()),
-                "keep": pa.array([None if best[c][0] == NO_ID else best[c][0] for c in own], pa.int64()),
-                "size": pa.array([size[c] for c in own], pa.int64()), "first": pa.array(first),
-                "sha": pa.array([digest[c] for c in own]), "name": pa.array([split[c] for c in own], pa.string()),
-                "content": pa.array([table.contents[c].decode() if f and split[c] else None
-                                     for f, c in zip(first, own)], pa.string())}
-            yield pa.RecordBatch.from_arrays([*out.values(), *[part.column(c) for c in carry]], [*out, *carry])
-
-
-def _deal(records: DataFrame, limit: int) -> DataFrame:
-    """Add ``parts`` and ``part`` to the records and deal them to buckets."""
-    weight = F.col("bytes") + RECORD_BYTES
-    spread = cut_lineage(records.groupBy("h").agg(F.sum(weight).alias("held"), F.count("*").alias("rows")))
-    total = spread.agg(F.sum("held")).first()[0] or 0
-    spark = records.sparkSession
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // limit))
-    share = max(min(limit, 2 * total // buckets), RECORD_BYTES)
-    big = (F.col("held") > share) & (F.col("rows") > 1)
-    while True:
-        # ordinary hashes only: larger ones are split below, or are one long text
-        held = spread.filter(F.col("held") <= share).groupBy(F.pmod(F.xxhash64("h"), F.lit(buckets)).alias("b")).agg(
-            F.sum("held").alias("held"), F.count("*").alias("n"))
-        if not held.filter((F.col("held") > 2 * limit) & (F.col("n") > 1)).limit(1).count():
-            break
-        buckets *= 2
-    hot = spread.filter(big).select(F.col("h").alias("_h"), F.ceil(F.col("held") / share).cast("int").alias("_p"))
-    out = records.join(hot, F.col("h") == F.col("_h"), "left")
-    parts = F.coalesce("_p", F.lit(1))
-    out = out.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("top", "row"), parts).cast("int"))
-    return out.drop("_h", "_p", "bytes").repartition(buckets, "h", "part")
-
-
-def _level(records: DataFrame, carry: list[str], limit: int) -> DataFrame:
-    fields = "row string, top long, keep long, size long, first boolean, sha string, name string, content string"
-    schema = T.StructType.fromDDL(fields)
+    for piece, own in rows:
+        first = np.array([best[c][1] == -(at + i) for i, c in enumerate(own)], bool)
+        at += len(own)
+        text = piece.column("content").take(pa.array(np.arange(len(own)), mask=~first))
+        out = {"row": piece.column("row"), "top": piece.column("top"), "first": pa.array(first), "content": text,
+               "keep": pa.array([None if best[c][0] == NO_ID else best[c][0] for c in own], pa.int64()),
+               "size": pa.array([size[c] for c in own], pa.int64()), "sha": pa.array([digest[c] for c in own]),
+               "name": pa.array([f"{name}.{c}" for c in own], pa.string())}
+        yield pa.RecordBatch.from_arrays([*out.values(), *[piece.column(c) for c in carry]], [*out, *carry])
+
+
+def _collapse(records: DataFrame, carry: list[str], limit: int) -> DataFrame:
+    schema = T.StructType.fromDDL("row string, top long, first boolean, content string, keep long, size long, "
+                                  "sha string, name string")
     schema = T.StructType([*schema.fields, *[records.schema[c] for c in carry]])
-    return _deal(records, limit).mapInArrow(lambda it: _bucket_task(it, carry), schema)
-
+    return records.select("row", "top", "n", "content", *carry).mapInArrow(
+        lambda it: _collapse_task(it, carry, limit), schema)
 
-def _merge(records: DataFrame, limit: int) -> DataFrame:
-    """(name, keep, size, first) of the records that stand for split classes."""
-    out = cut_lineage(_level(records, [], limit))
-    done = out.filter("name IS NULL").select("row", "keep", "size", "first")
-    stand = out.filter("first AND name IS NOT NULL")
-    if not stand.limit(1).count():
-        return done
-    above = _merge(_records(stand), limit)
-    return done.unionByName(_lift(out.filter("name IS NOT NULL"), above, ["row"]))
 
-
-def _records(stand: DataFrame) -> DataFrame:
-    return stand.select(F.col("name").alias("row"), F.col("keep").alias("top"), F.col("size").alias("n"),
-                        "content", F.xxhash64("content").alias("h"), F.octet_length("content").alias("bytes"))
+def _merge(stand: DataFrame, limit: int) -> DataFrame:
+    """(row, keep, size, first) of the records that stand for classes; ``row`` is their name."""
+    records = stand.select(F.col("name").alias("row"), F.col("keep").alias("top"), F.col("size").alias("n"), "content")
+    h = F.xxhash64(fold_case(F.col("content")))
+    weight = F.octet_length("content") + RECORD_BYTES
+    buckets = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by_hash = records.groupBy(h.alias("h")).agg(F.sum(weight).alias("held"))
+    while True:
+        by_bucket = by_hash.groupBy(F.pmod(F.xxhash64("h"), F.lit(buckets))).agg(
+            F.sum("held").alias("held"), F.max("held").alias("most"))
+        total, held, most = by_bucket.agg(F.sum("held"), F.max("held"), F.max("most")).first()
+        if not total or held <= 2 * limit or most > limit:
+            break
+        buckets = max(2 * buckets, total // limit)
+    if total and most > 2 * limit:  # one hash (or one long text) is more than a bucket
+        hot = by_hash.filter(F.col("held") > limit).withColumn("parts", F.ceil(F.col("held") / limit).cast("int"))
+        salted = records.withColumn("h", h).join(hot.drop("held"), "h", "left").withColumn(
+            "salt", F.pmod(F.xxhash64("row"), F.coalesce("parts", F.lit(1))))
+        out = cut_lineage(_collapse(salted.repartition(max(buckets, total // limit), "h", "salt"), [], 2 * limit))
+        if out.filter("first").count() < out.count():
+            return _lift(out, _merge(out.filter("first"), limit), ["row"])
+    out = _collapse(records.repartition(buckets, h), [], sys.maxsize)
+    return out.select("row", "keep", "size", "first")
 
 
 def _lift(rows: DataFrame, above: DataFrame, cols: list[str]) -> DataFrame:
-    """Give the rows of split classes what the level above found for their record."""
+    """Give rows what the level above found for the record that stands for them."""
     up = above.select(F.col("row").alias("name"), F.col("keep").alias("_keep"), F.col("size").alias("_size"),
                       F.col("first").alias("_first"))
     return rows.join(up, "name").select(*cols, F.col("_keep").alias("keep"), F.col("_size").alias("size"),
                                         (F.col("first") & F.col("_first")).alias("first"))
 
 
-def exact_groups(docs: DataFrame, carry: list[str] = (), kept_only: bool = False,
-                 limit: int = BUCKET_BYTES) -> DataFrame:
-    """(doc_id, keep_id, group_size, kept, text_sha256, *carry) of every row, or of the rows that stay."""
-    renamed = {c: f"_c{i}" for i, c in enumerate(carry)}
-    content = fold_case(F.col("text"))
+def _level0(docs: DataFrame, carry: dict[str, str], limit: int) -> DataFrame:
     records = docs.select(F.lit(None).cast("string").alias("row"), F.col("doc_id").cast("long").alias("top"),
-                          F.lit(1).cast("long").alias("n"), content.alias("content"),
-                          F.xxhash64(content).alias("h"), F.octet_length(content).alias("bytes"),
-                          *[F.col(c).alias(r) for c, r in renamed.items()])
-    out = _level(records, list(renamed.values()), limit)
-    if kept_only:
-        out = out.filter("first")
-    out = cut_lineage(out)
-    cols = ["top", "sha", *renamed.values()]
-    rows = out.filter("name IS NULL").select(*cols, "keep", "size", "first")
-    stand = out.filter("first AND name IS NOT NULL")
-    if stand.limit(1).count():
-        above = cut_lineage(_merge(_records(stand), limit))
-        rows = rows.unionByName(_lift(out.filter("name IS NOT NULL"), above, cols))
-    if kept_only:
-        rows = rows.filter("first")
+                          F.lit(1).cast("long").alias("n"), F.col("text").alias("content"),
+                          *[F.col(c).alias(r) for c, r in carry.items()])
+    return _collapse(records, list(carry.values()), limit)
+
+
+def exact_groups(docs: DataFrame, limit: int = BUCKET_BYTES) -> DataFrame:
+    """(doc_id, keep_id, group_size, kept, text_sha256) of every row."""
+    out = cut_lineage(_level0(docs, {}, limit))
+    rows = _lift(out, _merge(out.filter("first"), limit), ["top", "sha"])
     return rows.select(F.col("top").alias("doc_id"), F.col("keep").alias("keep_id"),
                        F.col("size").alias("group_size"), F.col("first").alias("kept"),
-                       F.col("sha").alias("text_sha256"), *[F.col(r).alias(c) for c, r in renamed.items()])
+                       F.col("sha").alias("text_sha256"))
 
 
-def without_copies(docs: DataFrame) -> DataFrame:
+def without_copies(docs: DataFrame, limit: int = BUCKET_BYTES) -> DataFrame:
     """The rows of ``docs`` that stay, with their columns."""
-    carry = [c for c in docs.columns if c != "doc_id"]
-    return exact_groups(docs, carry, kept_only=True).select(
-        F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id"), *carry).select(docs.columns)
+    carry = {c: f"_c{i}" for i, c in enumerate(docs.columns) if c != "text"}
+    out = cut_lineage(_level0(docs, carry, limit).filter("first"))
+    rows = _lift(out, _merge(out, limit), ["content", *carry.values()]).filter("first")
+    back = {r: c for c, r in carry.items()}
+    return rows.select(F.col("content").alias("text"), *[F.col(r).alias(c) for r, c in back.items()]).select(docs.columns)
 
 
 def op9_dedup(spark, sf_dir: str) -> DataFrame:
