@@ -41,7 +41,7 @@ SYMBOLS = r"[#*$%&|<>]"
 WINDOW = 5
 MIN_ROWS, LEAST = 100, 20
 KEEP = 0.75
-STEPS = 6
+STEPS = 4
 BINS = 64
 #: chi-squared with 4 degrees of freedom: the consistency factor of the best
 #: three quarters, and a squared distance that one in 10^12 exceeds.
@@ -75,7 +75,8 @@ def repeat_words(rows: DataFrame) -> DataFrame:
     """
     rest = [c for c in rows.columns if c != "w"]
     n = F.size("h") - WINDOW
-    keys = F.transform(F.sequence(F.lit(0), n), lambda i: F.xxhash64(*[F.get("h", i + k) for k in range(WINDOW)]))
+    keys = F.slice(F.transform("h", lambda x, i: F.xxhash64(x, *[F.get("h", i + k) for k in range(1, WINDOW)])),
+                   F.lit(1), n + 1)
     rows = rows.select(*rest, F.transform("w", lambda x: F.xxhash64(x)).alias("h"))
     rows = rows.select(*rest, F.when(n >= 1, keys).alias("keys"))
     pairs = F.sort_array(F.transform("keys", lambda k, i: F.struct(k.alias("k"), i.alias("i"))))
@@ -121,20 +122,29 @@ def _group(rows: DataFrame, by: list[str]) -> DataFrame:
     return rows.join(fine, on).drop(*[f"_{c}" for c in by])
 
 
-def _moments(rows: DataFrame) -> DataFrame:
-    """Mean and floored covariance by (grp, start), as a Cholesky factor, and its log determinant."""
-    xs = [f"x{i + 1}" for i in range(DIMS)]
-    m = rows.groupBy("grp", "start").agg(
-        F.count("*").alias("n"), *[F.avg(x).alias(f"m{i}") for i, x in enumerate(xs)],
-        *[F.covar_pop(xs[i], xs[j]).alias(f"c{i}{j}") for i in range(DIMS) for j in range(i + 1)])
-    for i in range(DIMS):
-        for j in range(i + 1):
-            rest = reduce(lambda a, b: a + b, [F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)], F.lit(0.0))
-            c = F.col(f"c{i}{j}") * FACTOR + (FLOOR[i] ** 2 if i == j else 0.0) - rest
-            m = m.withColumn(f"l{i}{j}", F.sqrt(F.greatest(c, F.lit(1e-12))) if i == j else c / F.col(f"l{j}{j}"))
+XS = [f"x{i + 1}" for i in range(DIMS)]
+PAIRS = [(i, j) for i in range(DIMS) for j in range(i + 1)]
+SUMS = {"n": F.count, **{f"s{i}": F.sum for i in range(DIMS)}, **{f"p{i}{j}": F.sum for i, j in PAIRS}}
+
+
+def _sums(rows: DataFrame, *by: str) -> DataFrame:
+    """Count, sums and sums of products of the vectors; they add up over groups."""
+    return rows.groupBy(*by).agg(
+        F.count("*").alias("n"), *[F.sum(x).alias(f"s{i}") for i, x in enumerate(XS)],
+        *[F.sum(F.col(XS[i]) * F.col(XS[j])).alias(f"p{i}{j}") for i, j in PAIRS])
+
+
+def _factor(m: DataFrame) -> DataFrame:
+    """Means and the Cholesky factor of the floored covariance from sums, and its log determinant."""
+    m = m.select("*", *[(F.col(f"s{i}") / F.col("n")).alias(f"m{i}") for i in range(DIMS)])
+    for i, j in PAIRS:
+        rest = reduce(lambda a, b: a + b, [F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)], F.lit(0.0))
+        c = F.col(f"p{i}{j}") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}")
+        c = c * FACTOR + (FLOOR[i] ** 2 if i == j else 0.0) - rest
+        m = m.withColumn(f"l{i}{j}", F.sqrt(F.greatest(c, F.lit(1e-12))) if i == j else c / F.col(f"l{j}{j}"))
     logdet = reduce(lambda a, b: a + b, [F.ln(f"l{i}{i}") for i in range(DIMS)])
-    return m.select("grp", "start", "n", logdet.alias("logdet"), *[f"m{i}" for i in range(DIMS)],
-                    *[f"l{i}{j}" for i in range(DIMS) for j in range(i + 1)])
+    return m.select("grp", "start", "n_rows", logdet.alias("logdet"), *[f"m{i}" for i in range(DIMS)],
+                    *[f"l{i}{j}" for i, j in PAIRS])
 
 
 def _distance(rows: DataFrame) -> DataFrame:
@@ -145,40 +155,40 @@ def _distance(rows: DataFrame) -> DataFrame:
     return rows.withColumn("d2", reduce(lambda a, b: a + b, [F.col(f"z{i}") * F.col(f"z{i}") for i in range(DIMS)]))
 
 
-def _nearest(rows: DataFrame, est: DataFrame) -> DataFrame:
-    """The nearest ``KEEP`` of each (grp, start)'s rows under its estimate."""
-    xs = [f"x{i + 1}" for i in range(DIMS)]
+def _step(rows: DataFrame, est: DataFrame) -> DataFrame:
+    """A concentration step: the estimate from the nearest ``KEEP`` of each (grp, start)'s rows.
+
+    The sums are taken by bin of the log distance, so one pass over the rows
+    gives both the distance that the share reaches and the sums within it.
+    """
     bin_ = F.floor(F.log2(F.col("d2") + 1e-9) * BINS).cast("long")
-    far = _distance(rows.join(est, "grp")).select("grp", "start", *xs, bin_.alias("bin"))
-    counts = far.groupBy("grp", "start", "bin").agg(F.count("*").alias("n"))
-    # few bins a group: at most some thousands, whatever the rows
-    bins = counts.groupBy("grp", "start").agg(F.sum("n").alias("all"), F.sort_array(
-        F.collect_list(F.struct("bin", "n"))).alias("bins"))
-    first = F.struct(F.lit(0).cast("long").alias("sum"), F.lit(None).cast("long").alias("edge"))
-    edge = F.aggregate("bins", first, lambda a, b: F.struct(
-        (a["sum"] + b["n"]).alias("sum"),
-        F.when(a["sum"] < F.ceil(F.col("all") * KEEP), b["bin"]).otherwise(a["edge"]).alias("edge")))["edge"]
-    edges = bins.select("grp", "start", edge.alias("edge"))
-    return far.join(edges, ["grp", "start"]).filter(F.col("bin") <= F.col("edge")).select("grp", "start", *xs)
+    far = _distance(rows.join(est, "grp")).withColumn("bin", bin_)
+    # at most some thousands of bins a group, whatever the rows
+    one = F.struct("bin", *SUMS)
+    bins = _sums(far, "grp", "start", "bin").groupBy("grp", "start").agg(
+        F.sum("n").alias("n_rows"), F.sort_array(F.collect_list(one)).alias("bins"))
+    first = F.struct(*[F.lit(0).cast("long" if c == "n" else "double").alias(c) for c in SUMS])
+    total = F.aggregate("bins", first, lambda a, b: F.when(
+        a["n"] < F.ceil(F.col("n_rows") * KEEP), F.struct(*[(a[c] + b[c]).alias(c) for c in SUMS])).otherwise(a))
+    return _factor(bins.select("grp", "start", "n_rows", total.alias("t")).select("grp", "start", "n_rows", "t.*"))
 
 
 def estimates(rows: DataFrame) -> DataFrame:
     """The MCD estimate of each ``grp``: (grp, n_rows, means, factors)."""
-    xs = [f"x{i + 1}" for i in range(DIMS)]
     odd = F.col("x2") + F.col("x3") + F.col("x4")
-    mean = rows.groupBy("grp").agg(F.count("*").alias("n_rows"), F.avg(odd).alias("odd"),
-                                   F.avg("x1").alias("mid"), F.stddev_pop("x1").alias("sd"))
+    mean = cut_lineage(rows.groupBy("grp").agg(F.avg(odd).alias("odd"), F.avg("x1").alias("mid"),
+                                               F.stddev_pop("x1").alias("sd")))
     # starts: all rows; those with few oddities; of these, those of a usual word length
     low = odd <= F.col("odd")
     starts = F.when(low & (F.abs(F.col("x1") - F.col("mid")) <= F.col("sd")), F.array(*map(F.lit, (0, 1, 2)))).when(
         low, F.array(*map(F.lit, (0, 1)))).otherwise(F.array(F.lit(0)))
-    subset = rows.join(mean, "grp").select("grp", F.explode(starts).alias("start"), *xs)
-    est = cut_lineage(_moments(subset))
+    subset = rows.join(mean, "grp").select("grp", F.explode(starts).alias("start"), *XS)
+    est = cut_lineage(_factor(_sums(subset, "grp", "start").withColumn("n_rows", F.col("n"))))
     for _ in range(STEPS):
-        est = cut_lineage(_moments(_nearest(rows, est)))
+        est = cut_lineage(_step(rows, est))
     best = est.groupBy("grp").agg(F.min(F.struct("logdet", "start")).alias("b")).select(
         "grp", F.col("b.start").alias("start"))
-    return est.join(best, ["grp", "start"]).drop("start", "n", "logdet").join(mean.select("grp", "n_rows"), "grp")
+    return est.join(best, ["grp", "start"]).drop("start", "logdet")
 
 
 def judge(docs: DataFrame) -> DataFrame:

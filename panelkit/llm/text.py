@@ -38,8 +38,8 @@ def fold_case(c: Column) -> Column:
 
 def words_column(c: Column) -> Column:
     """The words of a text as an array (null: empty array), JVM-side."""
-    bare = F.regexp_replace(F.coalesce(c, F.lit("")), r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
-    return F.filter(F.split(bare, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    bare = F.trim(F.coalesce(c, F.lit("")), F.lit(" \t\n\x0b\x0c\r"))
+    return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, r"[\x20\x09-\x0D]+"))
 
 
 def bucket_of(c: Column, n: int) -> Column:
