@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from panelkit.llm import chat, dedup, encode, mixing, outliers
+from panelkit.llm import chat, dedup, encode, mixing, outliers, quality_model, toxicity
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op2_sentencepiece": encode.op2_sentencepiece,
     "op4_chat": chat.op4_chat,
+    "op5_quality": quality_model.op5_quality,
     "op7_outliers": outliers.op7_outliers,
+    "op8_toxicity": toxicity.op8_toxicity,
     "op9_dedup": dedup.op9_dedup,
     "op10_token_counts": encode.op10_token_counts,
 }
