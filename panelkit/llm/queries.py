@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from panelkit.llm import chat, dedup, encode, mixing, outliers, quality_model, toxicity
+import corpus_pipeline
+from panelkit.llm import chat, dedup, encode, jaccard, mixing, outliers, quality_model, suffix_tree, toxicity
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
     "op2_sentencepiece": encode.op2_sentencepiece,
+    "op3_suffix_tree": suffix_tree.op3_suffix_tree,
     "op4_chat": chat.op4_chat,
     "op5_quality": quality_model.op5_quality,
+    "op6_jaccard": jaccard.op6_jaccard,
     "op7_outliers": outliers.op7_outliers,
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_dedup": dedup.op9_dedup,
     "op10_token_counts": encode.op10_token_counts,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE = {
