@@ -71,11 +71,10 @@ DROP_PATTERNS = [
 ]
 KEEP_COLUMNS = ["vote", "year", "ms_code", "country_code", "ms_name", "country"]
 
-# Default topic filter patterns (case-insensitive substrings).
+# Default topic filter patterns (case-insensitive substrings).
 TOPIC_PATTERNS = [
-    "Security", "security",
-    "Human Rights", "human rights", "Human rights",
-    "Peacekeeping", "peacekeeping",
+    "Security", "Human Rights", "Human rights", "SECURITY",
+    "HUMAN RIGHTS", "Peacekeeping", "PEACEKEEPING",
 ]
 
 # Wide-by-indicator fallback: keywords of indicator columns to keep.

@@ -128,5 +128,11 @@ def is_alpha(c, n: int | None = None) -> Column:
     return col(c).rlike(r"^\p{L}" + rep + "$")
 
 
+def present(df, c: str) -> Column:
+    """The column with NaN as NULL, whatever its type."""
+    x = F.col(f"`{c}`")
+    return F.when(~F.isnan(x), x) if df.schema[c].dataType.typeName() in ("double", "float") else x
+
+
 def nan_to_null(c) -> Column:
     return F.nanvl(col(c), F.lit(None).cast("double"))

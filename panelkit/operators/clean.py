@@ -100,7 +100,7 @@ def sparse_columns(df: DataFrame, threshold: float = SPARSE_THRESHOLD,
     """Columns whose NULL share exceeds the threshold (priority ones kept)."""
     if not df.columns:
         return []
-    r = df.agg(*[F.avg(F.col(_q(c)).isNull().cast("double")).alias(c) for c in df.columns]).first()
+    r = df.agg(*[F.avg(S.present(df, c).isNull().cast("double")).alias(c) for c in df.columns]).first()
     if r is None:
         return []
     r = r.asDict()
@@ -112,48 +112,41 @@ def drop_sparse(df: DataFrame, threshold: float = SPARSE_THRESHOLD, priority=tup
     return df.drop(*cols) if cols else df
 
 
-def constant_columns(df: DataFrame, threshold: float = CONSTANT_THRESHOLD, rsd: float = 0.05) -> list:
-    """Constant (<= 1 distinct non-NULL value) and near-constant columns.
+def constant_columns(df: DataFrame, threshold: float = CONSTANT_THRESHOLD) -> list:
+    """Constant (<= 1 distinct present value) and near-constant columns.
 
     Near-constant: distinct / rows < 1 - threshold and the top value holds at
-    least ``threshold`` of the non-NULL values.
-
-    Pass 1 (one aggregate, no per-column row copies): count, min, max and a
-    HyperLogLog distinct estimate per column. Constant is exact (min = max).
-    The estimate only screens: columns whose estimate is below the cut plus a
-    5-sigma margin go to pass 2, which counts (column, value) pairs (combined
-    map-side, so a dominant value is one partial row per task) and decides
-    with the exact distinct count and top share. An exact ``count_distinct``
-    over all columns would instead copy every row once per column into the
-    shuffle.
+    least ``threshold`` (more than half) of the present values. NaN is missing.
+
+    Pass 1 (one aggregate, no per-column row copies): count, min, max and the
+    approximate median of the value hashes. A value that holds ``threshold`` of
+    the rows also holds the middle of the hashes, far beyond the median's rank
+    error, so it is the only value that can qualify. Pass 2 counts it exactly.
+    Pass 3 counts the distinct values of the columns that qualify.
     """
     cols = [f.name for f in df.schema.fields
             if not isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType))]
     if not cols:
         return []
     aggs = [F.count(F.lit(1)).alias("_n")]
-    for i, c in enumerate(cols):
-        x = F.col(_q(c))
+    # 52 bits: the approximate median works on doubles
+    hashes = [F.when(S.present(df, c).isNotNull(), F.shiftrightunsigned(F.xxhash64(_q(c)), 12)) for c in cols]
+    for i, (c, h) in enumerate(zip(cols, hashes)):
+        x = S.present(df, c)
         aggs += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
-                 F.approx_count_distinct(x, rsd).alias(f"d{i}")]
+                 F.percentile_approx(h, 0.5, 1000).alias(f"m{i}")]
     r = df.agg(*aggs).first().asDict()
     n = r["_n"]
     if not n:
         return []
-    cut = (1 - threshold) * n
-    drop, cand = set(), []
-    for i, c in enumerate(cols):
-        if r[f"n{i}"] == 0 or r[f"lo{i}"] == r[f"hi{i}"]:
-            drop.add(c)
-        elif r[f"d{i}"] < cut * (1 + 5 * rsd) + 1:
-            cand.append(c)
-    if cand:
-        pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("k"), F.col(_q(c)).cast("string").alias("v"))
-                                    for c in cand]))
-        long = df.select(pairs.alias("p")).select("p.*").where(F.col("v").isNotNull())
-        vc = long.groupBy("k", "v").agg(F.count("*").alias("n"))
-        stats = vc.groupBy("k").agg(F.count("*").alias("d"), (F.max("n") / F.sum("n")).alias("s")).collect()
-        drop |= {x["k"] for x in stats if x["d"] < cut and x["s"] >= threshold}
+    drop = {c for i, c in enumerate(cols) if r[f"n{i}"] == 0 or r[f"lo{i}"] == r[f"hi{i}"]}
+    rest = [i for i, c in enumerate(cols) if c not in drop]
+    if rest:
+        top = df.agg(*[F.count(F.when(hashes[i] == r[f"m{i}"], 1)).alias(f"t{i}") for i in rest]).first().asDict()
+        cand = [cols[i] for i in rest if top[f"t{i}"] >= threshold * r[f"n{i}"]]
+        if cand:
+            d = df.agg(*[F.count_distinct(S.present(df, c)).alias(c) for c in cand]).first().asDict()
+            drop |= {c for c in cand if d[c] < (1 - threshold) * n}
     return [c for c in cols if c in drop]
 
 

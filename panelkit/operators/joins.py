@@ -49,11 +49,6 @@ def join_panel(fact: DataFrame, panel: DataFrame, keys=("country_code", "year"),
     return fact.join(panel, keys, "left")
 
 
-def with_stats(df: DataFrame, stats: DataFrame) -> DataFrame:
-    """Attach a one-row statistics frame to every row (broadcast: one row)."""
-    return df.crossJoin(F.broadcast(stats.limit(1)))
-
-
 def derive_year(votes: DataFrame) -> DataFrame:
     """``year`` INT from year, else date (YYYY-MM-DD), else session
     (1945 + session), else the first column named like '*year*'."""

@@ -78,11 +78,11 @@ def gnb_fit(df: DataFrame, label: str, cols, var_smoothing: float = 1e-9) -> Dat
         *[F.var_pop(F.col(c).cast("double")).alias(f"_v{i}") for i, c in enumerate(cols)])
     w = Window.partitionBy()  # over the class table only
     n = F.sum("_nc").over(w)
+    per = per.withColumns({f"_g{i}": F.sum(F.col("_nc") * F.col(f"_m{i}")).over(w) / n for i in range(len(cols))})
     tot_var = []
     for i in range(len(cols)):
-        mean = F.sum(F.col("_nc") * F.col(f"_m{i}")).over(w) / n
-        m2 = F.sum(F.col("_nc") * (F.col(f"_v{i}") + F.col(f"_m{i}") * F.col(f"_m{i}"))).over(w) / n
-        tot_var.append(m2 - mean * mean)
+        apart = F.col(f"_m{i}") - F.col(f"_g{i}")  # no difference of large squares
+        tot_var.append(F.sum(F.col("_nc") * (F.col(f"_v{i}") + apart * apart)).over(w) / n)
     mx = F.greatest(*tot_var, F.lit(0.0))
     structs = [F.struct(F.lit(c).alias("feature"), F.col(f"_m{i}").alias("mean"), F.col(f"_v{i}").alias("var0"))
                for i, c in enumerate(cols)]

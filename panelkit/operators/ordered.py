@@ -1,9 +1,8 @@
 """Order-dependent operators that must not collapse into one task.
 
 A plain ``Window.orderBy(...)`` without a partition sends every row to a
-single task, and so does a window partitioned by one hot key. Here the order
-column is cut into range buckets (bounds from ``percentile_approx``); each
-bucket is windowed on its own, and a small per-bucket summary (at most
+single task, and so does a window partitioned by one hot key. Here the rows are cut
+into range buckets of the whole order key; each bucket is windowed on its own, and a small per-bucket summary (at most
 ``max_buckets`` rows per partition key) gives the carry-in from the buckets
 before it. The number of buckets grows with the row count, so bucket size
 stays bounded (``rows_per_bucket``).
@@ -12,83 +11,46 @@ stays bounded (``rows_per_bucket``).
 from __future__ import annotations
 
 import math
-from collections import Counter
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from panelkit.session import cut_lineage
+
 BKT = "_bkt"
 TB = "_tb"
-MAX_SPLIT = 1024
 ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 100_000
 
 
-def _order_key(df: DataFrame, c: str):
-    """A DOUBLE that never decreases when ``c`` increases (NULL first)."""
-    dt = df.schema[c].dataType
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        k = F.unix_micros(F.col(c).cast("timestamp")).cast("double")
-    elif isinstance(dt, T.DateType):
-        k = F.unix_date(F.col(c)).cast("double")
-    elif isinstance(dt, (T.NumericType, T.BooleanType)):
-        k = F.nanvl(F.col(c).cast("double"), F.lit(float("inf")))
-    else:
-        return None
-    return F.coalesce(k, F.lit(float("-inf")))
-
-
 def tie_break(df: DataFrame):
     """Deterministic row hash used to order rows whose order keys tie."""
     cols = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
     return F.xxhash64(*[F.col(f"`{c}`") for c in cols])
 
 
-def range_buckets(df: DataFrame, order_col: str, n_buckets: int | None = None,
+def range_buckets(df: DataFrame, order_by, n_buckets: int | None = None,
                   rows_per_bucket: int = ROWS_PER_BUCKET,
                   max_buckets: int = MAX_BUCKETS) -> DataFrame:
     """Add ``_bkt`` (bucket index) and ``_tb`` (row hash). Ordering rows by
-    (order keys, ``_tb``) is ordering them by ``_bkt`` first: buckets are
-    ranges of ``order_col``, and a value that fills whole buckets on its own
-    (it repeats among the approximate bounds, e.g. one key holding a third of
-    all rows) gets buckets of its own, split by ranges of ``_tb``. So no
-    bucket grows beyond about ``rows_per_bucket`` rows, hot value or not.
+    (order keys, ``_tb``) is ordering them by ``_bkt`` first.
 
-    Small inputs (one bucket) cost a single count and no bounds job.
+    The buckets are the range partitions of the whole key (all order columns of
+    any orderable type, then ``_tb``), so a value of the first column that many
+    rows share is split by the columns after it, and the row hash only parts
+    rows whose order keys all tie. Partition numbers are fixed by writing the
+    rows once (``cut_lineage``); a recomputed sample could move the bounds.
     """
-    key = _order_key(df, order_col)
+    order_by = [order_by] if isinstance(order_by, str) else list(order_by)
     out = df.withColumn(TB, tie_break(df))
     if n_buckets is None:
         n = df.count()
         n_buckets = max(1, min(max_buckets, math.ceil(n / rows_per_bucket)))
-    if key is None or n_buckets <= 1:
-        return out.withColumn(BKT, F.lit(0))
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    acc = max(10_000, 10 * n_buckets)
-    with_key = out.withColumn("_okey", key)
-    bounds = with_key.select(
-        F.percentile_approx("_okey", probs, acc).alias("b")).first()["b"] or []
-    vals = [float(b) for b in bounds if b is not None and math.isfinite(b)]
-    reps = Counter(vals)
-    hot = {v: min(MAX_SPLIT, c + 1) for v, c in reps.items() if c >= 2}
-    points = set(vals) | {math.nextafter(v, math.inf) for v in hot}
-    splits = [float("-inf"), *sorted(points), float("inf")]
-    if len(splits) < 3:
+    if n_buckets <= 1:
         return out.withColumn(BKT, F.lit(0))
-    major = Bucketizer(splits=splits, inputCol="_okey", outputCol="_bktd",
-                       handleInvalid="keep").transform(with_key)
-    major_col = F.col("_bktd").cast("int")
-    if not hot:
-        return major.withColumn(BKT, major_col).drop("_okey", "_bktd")
-    # bucket [v, next(v)) holds exactly the hot value v: split it by _tb ranges
-    parts = {splits.index(v): m for v, m in hot.items()}
-    width = max(parts.values())
-    m = F.create_map(*[x for i, k in parts.items() for x in (F.lit(i), F.lit(k))])[major_col]
-    frac = F.col(TB).cast("double") / F.lit(2.0 ** 64) + F.lit(0.5)
-    minor = F.when(m.isNotNull(), F.least(F.floor(frac * m).cast("int"), m - 1)).otherwise(F.lit(0))
-    return major.withColumn(BKT, major_col * F.lit(width) + minor).drop("_okey", "_bktd")
+    dealt = out.repartitionByRange(n_buckets, *[F.col(f"`{c}`").asc_nulls_first() for c in order_by], F.col(TB).asc())
+    return cut_lineage(dealt.withColumn(BKT, F.spark_partition_id()))
 
 
 def _join_keys(left: DataFrame, right: DataFrame, keys, how: str = "left") -> DataFrame:
@@ -113,7 +75,7 @@ def prefix_sums(df: DataFrame, order_by, value_cols, partition_by=(), descending
     """Running (inclusive) sums of ``value_cols`` in ``order_by`` order."""
     order_by = [order_by] if isinstance(order_by, str) else list(order_by)
     part = list(partition_by)
-    b = range_buckets(df, order_by[0], n_buckets)
+    b = range_buckets(df, order_by, n_buckets)
     bkt_order = F.col(BKT).desc() if descending else F.col(BKT).asc()
     totals = b.groupBy(*part, BKT).agg(*[F.sum(v).alias(f"_t_{v}") for v in value_cols])
     wb = Window.partitionBy(*part).orderBy(bkt_order).rowsBetween(Window.unboundedPreceding, -1)
@@ -138,7 +100,7 @@ def ordered_fill(df: DataFrame, cols, order_by, partition_by=(), direction: str
     if not cols:
         return df
     fwd = direction == "forward"
-    b = range_buckets(df, order_by[0], n_buckets)
+    b = range_buckets(df, order_by, n_buckets)
     okey = [F.col(o) for o in order_by] + [F.col(TB)]
     # per bucket: last (forward) / first (backward) non-NULL value in order
     pick = F.max if fwd else F.min

@@ -56,7 +56,8 @@ def pivot_first(df: DataFrame, index, column: str, value: str, domain,
 def extract_wide_panel(df: DataFrame, keywords=tuple(WIDE_KEYWORDS), lo: int = YEAR_MIN,
                        hi: int = YEAR_MAX) -> DataFrame | None:
     """Wide-by-indicator table: keep keyword columns + keys, bound the year."""
-    code = next((c for c in df.columns if "country" in c.lower() and "code" in c.lower()), None)
+    # of several code columns the last counts
+    code = next((c for c in reversed(df.columns) if "country" in c.lower() and "code" in c.lower()), None)
     year = C.resolve_like(df, ["year"])
     if code is None or year is None:
         return None

@@ -3,7 +3,9 @@
 Every row gets a pseudo-random key ``md5(id | '-' seed)``. Within each
 class, rows are ranked by that key; the first ``round(test_size * n_c)``
 form the test set and ``rank % k`` is the fold. The same keys can be computed
-in any SQL engine, so splits are reproducible outside Spark.
+in any SQL engine, so splits are reproducible outside Spark. The ids should
+name a row: rows that share all ids share a key, are ordered arbitrarily among
+themselves and are ranked by one task.
 
 A plain ``row_number() over (partition by label ...)`` would put a whole
 class (half of a binary dataset) into one task. Instead the rank is split
@@ -22,14 +24,13 @@ from pyspark.sql import functions as F
 from panelkit.functions.constants import SEED
 
 PREFIX_HEX = 5
+NULL_ID = "\x00"
 
 
 def hash_key(id_cols, seed: int = SEED) -> Column:
     id_cols = [id_cols] if isinstance(id_cols, str) else list(id_cols)
-    if len(id_cols) == 1:
-        base = F.col(id_cols[0]).cast("string")
-    else:
-        base = F.concat_ws("|", *[F.col(c).cast("string") for c in id_cols])
+    # a NULL part counts as a mark of its own, so every row has a key
+    base = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit(NULL_ID)) for c in id_cols])
     return F.md5(F.concat(base, F.lit(f"-{seed}")))
 
 

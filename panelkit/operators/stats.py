@@ -42,7 +42,7 @@ def quantiles(df: DataFrame, cols, probs, exact_limit: int = EXACT_LIMIT) -> dic
     probs = [float(p) for p in probs]
     if not cols:
         return {}
-    counts = df.agg(*[F.count(F.col(_q(c))).alias(c) for c in cols]).first().asDict()
+    counts = df.agg(*[F.count(S.nan_to_null(F.col(_q(c)).cast("double"))).alias(c) for c in cols]).first().asDict()
     small = [c for c in cols if counts[c] <= exact_limit]
     big = [c for c in cols if counts[c] > exact_limit]
     out = {}
@@ -65,7 +65,7 @@ def _bucketed_quantiles(df: DataFrame, cols, probs, counts) -> dict:
     brow = vals.agg(*[F.percentile_approx(c, grid, acc).alias(c) for c in cols]).first().asDict()
     splits = []
     for c in cols:
-        inner = sorted({float(b) for b in (brow[c] or []) if b is not None})
+        inner = sorted({float(b) for b in (brow[c] or []) if b is not None and math.isfinite(b)})
         splits.append([float("-inf"), *inner, float("inf")])
     bcols = [f"_b{i}" for i in range(len(cols))]
     bucketed = Bucketizer(splitsArray=splits, inputCols=cols, outputCols=bcols,
@@ -113,7 +113,7 @@ def _bucketed_quantiles(df: DataFrame, cols, probs, counts) -> dict:
             lo = int(math.floor(pos))
             hi = min(n - 1, lo + 1)
             a, b = value_at[(i, lo)], value_at[(i, hi)]
-            res.append(a + (b - a) * (pos - lo))
+            res.append(a if a == b else a + (b - a) * (pos - lo))  # inf - inf would be NaN
         out[c] = res
     return out
 
@@ -162,12 +162,12 @@ def rate_by(df: DataFrame, key: str, target: str) -> DataFrame:
 
 
 def null_profile(df: DataFrame, cols=None) -> DataFrame:
-    """Per column: non-NULL count, total rows, non-NULL percent (one job)."""
+    """Per column: present count (neither NULL nor NaN), total rows, percent (one job)."""
     cols = list(cols or df.columns)
     if not cols:
         return df.sparkSession.createDataFrame([], "column string, non_null long, total long, pct double")
     one = df.agg(F.count(F.lit(1)).alias("_total"),
-                 *[F.count(F.col(_q(c))).alias(c) for c in cols])
+                 *[F.count(S.present(df, c)).alias(c) for c in cols])
     long = one.unpivot(["_total"], cols, "column", "non_null")
     return long.select("column", F.col("non_null").cast("long").alias("non_null"),
                        F.col("_total").cast("long").alias("total"),

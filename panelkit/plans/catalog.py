@@ -2,24 +2,13 @@
 
 from __future__ import annotations
 
+from panelkit.plans import model_queries as MQ
+from panelkit.plans import queries as Q
+
 
 def all_queries() -> dict:
-    from panelkit.plans import queries as Q
-    out = dict(Q.QUERIES)
-    try:
-        from panelkit.plans import model_queries as MQ
-        out.update(MQ.QUERIES)
-    except ImportError:
-        pass
-    return out
+    return {**Q.QUERIES, **MQ.QUERIES}
 
 
 def all_oracles() -> dict:
-    from panelkit.plans import queries as Q
-    out = dict(Q.ORACLE)
-    try:
-        from panelkit.plans import model_queries as MQ
-        out.update(MQ.ORACLE)
-    except ImportError:
-        pass
-    return out
+    return {**Q.ORACLE, **MQ.ORACLE}

@@ -40,23 +40,25 @@ def encode_target_column(df: DataFrame, target: str = "vote") -> DataFrame:
 def prepare(votes: DataFrame, indicators: DataFrame | None = None, spending: DataFrame | None = None,
             order_by=None, filter_issues: bool = True, outlier_strictness: str = "moderate",
             target: str = "ms_vote", topic_patterns=None, indicator_mapping: dict | None = None) -> DataFrame:
-    """Harmonise, encode, clean, impute. ``order_by`` gives the row order
+    """Harmonise, clean, impute, encode. ``order_by`` gives the row order
     for the fill semantics (default: the first column)."""
     h = J.harmonize(votes, indicators, spending, filter_issues=filter_issues, topic_patterns=topic_patterns,
                     indicator_mapping=indicator_mapping)
     tcol = target if target in h.columns else C.resolve_ci(h.columns, TARGET_CANDIDATES)
     if tcol is None:
         raise ValueError("no target column")
-    # the cleaning steps must not null-token / drop the raw target text
-    h = h.withColumn("vote", S.encode_target(F.col(f"`{tcol}`")))
-    if tcol != "vote":
-        h = h.drop(tcol)
     # the cleaning statistics passes (types, constants, outliers) all re-read
     # this: cut here so they start from the checkpoint, not from the scans
     h = cut_lineage(h)
     cleaned = cut_lineage(CL.comprehensive_clean(h, outlier_strictness=outlier_strictness))
-    order = order_by or [c for c in cleaned.columns if c != "vote"][:1]
-    return IM.impute(cleaned, order_by=order)
+    if tcol not in cleaned.columns:
+        raise ValueError(f"cleaning dropped the target {tcol}: it is constant or mostly missing")
+    order = order_by or [c for c in cleaned.columns if c != tcol][:1]
+    # encoded last: rows without a target are dropped by the cleaning, and rows
+    # that differ only in the target are no duplicates
+    done = IM.impute(cleaned, order_by=order)
+    done = done.withColumn("vote", S.encode_target(F.col(f"`{tcol}`")))
+    return done.drop(tcol) if tcol != "vote" else done
 
 
 def run(votes: DataFrame, indicators: DataFrame | None = None, spending: DataFrame | None = None,

@@ -7,18 +7,14 @@ from pyspark.sql import DataFrame
 
 def write_results(dfs: dict, directory: str, mode: str = "overwrite") -> list:
     """Write each DataFrame to ``directory/<name>`` (Parquet); returns paths.
-    Small result tables are coalesced to one file; big ones keep their
-    partitioning."""
+    Tables keep their partitioning: a coalesce to one file would pull the last
+    stage into one task."""
     paths = []
     for name, df in dfs.items():
         if not isinstance(df, DataFrame):
             continue
         path = f"{directory.rstrip('/')}/{name}"
-        out = df.coalesce(1) if _small(df) else df
-        out.write.mode(mode).parquet(path)
+        df.write.mode(mode).parquet(path)
         paths.append(path)
     return paths
 
-
-def _small(df: DataFrame, limit: int = 100_000) -> bool:
-    return df.limit(limit + 1).count() <= limit
