@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.tables import cut_lineage, read
+from panelkit.llm.tables import read
 from panelkit.llm.text import FOLD, HashIndex, bucket_of, mix, slices, span_hashes, text_buffer, _spans
 
 LABELLED = 60_000
@@ -154,18 +154,17 @@ class Model:
         return s, 1 / (1 + np.exp(-(self.bias + np.bincount(at, self.weights[term], len(s)))))
 
 
-def fit(bags: list, keys: np.ndarray) -> Model:
-    """Adam steps on the noisy-or log loss. Sentences without a candidate term count as not offending."""
-    label = np.array([b[0] for b in bags], float)
-    doc, sent, term = [], [], []
-    n = 0
-    for d, (_, bag) in enumerate(bags):
-        for s in bag:
-            doc.append(d)
-            sent.extend([n] * len(s))
-            term.extend(s)
-            n += 1
-    doc, sent, term = np.array(doc, np.int64), np.array(sent, np.int64), np.array(term, np.int64)
+def fit(bags: pa.Table, keys: np.ndarray, n_docs: int) -> Model:
+    """Adam steps on the noisy-or log loss over ``n_docs`` documents, of which ``bags`` has those with a
+    candidate term. Sentences without one count as not offending."""
+    bags = bags.combine_chunks()
+    label = bags.column("label").to_numpy().astype(float)
+    outer = pa.concat_arrays(bags.column("bag").chunks) if bags.num_rows else pa.array([], pa.list_(pa.list_(pa.int64())))
+    inner = outer.flatten()
+    n = len(inner)
+    doc = np.repeat(np.arange(len(outer)), outer.value_lengths().to_numpy(zero_copy_only=False))
+    sent = np.repeat(np.arange(n), inner.value_lengths().to_numpy(zero_copy_only=False))
+    term = inner.flatten().to_numpy(zero_copy_only=False)
     theta = np.zeros(len(keys) + 1)
     theta[:-1], theta[-1] = 1.0, -2.0
     m, v = np.zeros_like(theta), np.zeros_like(theta)
@@ -176,7 +175,7 @@ def fit(bags: list, keys: np.ndarray) -> Model:
         toxic = np.maximum(-np.expm1(clean), 1e-6)
         # d loss / d z: for a label 1 pulled up by its share of the document's clean chance, for a 0 down
         g = np.where(label[doc] > 0, -p * np.exp(np.minimum(clean[doc], 0)) / toxic[doc], p)
-        grad = np.append(np.bincount(term, g[sent], len(keys)), g.sum()) / max(len(label), 1)
+        grad = np.append(np.bincount(term, g[sent], len(keys)), g.sum()) / max(n_docs, 1)
         grad[:-1] += RIDGE * theta[:-1] / max(len(keys), 1)
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         theta -= RATE * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
@@ -216,8 +215,10 @@ def classify(docs: DataFrame, labels: DataFrame, held_out: int = 0, folds: int =
     keys = np.zeros(0, np.uint64)
     if len(set(known.values())) > 1:
         keys = candidate_terms(docs, known)
-    bags = cut_lineage(_bags(docs, known, keys)).collect() if len(keys) else []  # at most LABELLED rows
-    model = fit(bags, keys) if len(keys) else Model(keys, np.zeros(0), -9.0)
+    model = Model(keys, np.zeros(0), -9.0)
+    if len(keys):
+        bags = _bags(docs, known, keys).filter(F.size("bag") > 0)
+        model = fit(bags.toArrow(), keys, len(known))  # at most LABELLED rows of term numbers
     return score(docs, model).select("doc_id", (bucket_of(F.col("doc_id"), folds) == held_out).alias("held_out"), "score",
                                      (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_offending", "offending")
 
