@@ -14,7 +14,8 @@ toxic ones is well above the whole share (``MIN_Z`` standard errors).
 Learning uses at most ``LABELLED`` labelled documents, those with the smallest
 hash of their id. That is a bounded sample, as is the term list (``TERMS``);
 scoring covers every whole text. Ids of the sample and the model go to the
-tasks (both bounded), so no text is shuffled.
+tasks (both bounded), so no text is shuffled; only texts of the sample are
+looked at for learning.
 
 Sentences end at ``.``, ``!``, ``?`` and line breaks. A null text is empty and
 has no sentences: its score is 0. A null label is no label; of a repeated label
@@ -46,7 +47,7 @@ ENDS[list(b".!?\n")] = True
 
 
 def terms(data: np.ndarray, offsets: np.ndarray):
-    """(term hash, sentence number, row) of each term, and the sentence starts.
+    """(term hash, sentence number) of each term, and the sentence starts.
 
     Sentences are numbered through all rows; a row starts a new one.
     """
@@ -62,16 +63,19 @@ def terms(data: np.ndarray, offsets: np.ndarray):
     where = np.flatnonzero((data & 0xC0) != 0x80)
     out = [span_hashes(folded, starts, ends)]
     sent = [sentence]
+    first = lead[starts] - 1  # the number of the word's first character
+    where = np.append(where, len(data))
     for k in PREFIXES:
         # the byte where the character after the first k starts
-        after = lead[starts] - 1 + k if len(starts) else starts
-        stop = np.append(where, len(data))[np.minimum(after, len(where))]
+        stop = where[np.minimum(first + k, len(where) - 1)]
         long_ = stop <= ends
         out.append(mix(span_hashes(folded, starts[long_], stop[long_]) + np.uint64(k)))
         sent.append(sentence[long_])
-    hashes, sentence = np.concatenate(out), np.concatenate(sent)
-    row = np.searchsorted(offsets, begin[sentence], side="right") - 1
-    return hashes, sentence, row, begin
+    return np.concatenate(out), np.concatenate(sent), begin
+
+
+def _row(offsets: np.ndarray, begin: np.ndarray, sentence: np.ndarray) -> np.ndarray:
+    return np.searchsorted(offsets, begin[sentence], side="right") - 1
 
 
 def sample(docs: DataFrame, labels: DataFrame, held_out: int, folds: int) -> dict:
@@ -81,28 +85,33 @@ def sample(docs: DataFrame, labels: DataFrame, held_out: int, folds: int) -> dic
     return {i: int(y) for i, y in known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED).collect()}
 
 
-def _chosen(batches, known):
-    """Labelled rows of the sample: (labels, data, offsets) of slices."""
+def chosen(docs: DataFrame, known: dict) -> DataFrame:
+    """(text, label) of the documents of the sample. The ids are broadcast: ``LABELLED`` rows at most."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    ids = docs.sparkSession.createDataFrame(list(known.items()), f"doc_id {kind}, label long")
+    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("text", "label")
+
+
+def _pieces(batches):
+    """(slice, labels) of rows (text, label)."""
     for batch in batches:
-        keep = [i in known for i in batch.column("doc_id").to_pylist()]
-        some = batch.filter(pa.array(keep, pa.bool_()))
-        for piece in slices(some, "text"):
-            yield piece, np.array([known[i] for i in piece.column("doc_id").to_pylist()])
+        for piece in slices(batch, "text"):
+            yield piece, piece.column("label").to_numpy()
 
 
-def candidate_terms(docs: DataFrame, known: dict) -> np.ndarray:
-    """Sorted hashes of the terms that speak for toxicity."""
+def candidate_terms(rows: DataFrame, known: dict) -> np.ndarray:
+    """Sorted hashes of the terms that speak for toxicity, from the sample's rows (text, label)."""
     def count(batches):
-        for piece, label in _chosen(batches, known):
-            h, _, row, _ = terms(*text_buffer(piece.column("text")))
-            h, row = _distinct(h, row)
+        for piece, label in _pieces(batches):
+            data, offsets = text_buffer(piece.column("text"))
+            h, sentence, begin = terms(data, offsets)
+            h, row = _distinct(h, _row(offsets, begin, np.arange(len(begin) - 1))[sentence])
             u, at, n = np.unique(h, return_inverse=True, return_counts=True)
             bad = np.bincount(at, label[row], len(u)).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(u.view(np.int64)), pa.array(n.astype(np.int64)), pa.array(bad)], ["h", "n", "bad"])
 
-    src = docs.select("doc_id", "text")
-    sums = src.mapInArrow(count, "h long, n long, bad long").groupBy("h").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    sums = rows.mapInArrow(count, "h long, n long, bad long").groupBy("h").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     share = sum(known.values()) / max(len(known), 1)
     expect = F.col("n") * F.lit(share)
     z = (F.col("bad") - expect) / F.sqrt(expect * F.lit(1 - share) + 0.25)
@@ -120,19 +129,19 @@ def _distinct(h: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _hits(index: HashIndex, data, offsets):
     """(sentence, row, term) of distinct candidate terms in sentences, and the sentence starts."""
-    h, sentence, row, begin = terms(data, offsets)
+    h, sentence, begin = terms(data, offsets)
     at = index.find(h)
     on = at >= 0
     key = np.unique(sentence[on] * np.int64(len(index.keys) + 1) + at[on])
     sentence, term = key // (len(index.keys) + 1), key % (len(index.keys) + 1)
-    return sentence, np.searchsorted(offsets, begin[sentence], side="right") - 1, term, begin
+    return sentence, _row(offsets, begin, sentence), term, begin
 
 
-def _bags(docs: DataFrame, known: dict, keys: np.ndarray) -> DataFrame:
+def _bags(rows: DataFrame, keys: np.ndarray) -> DataFrame:
     """(label, bag): a row per labelled document, the candidate terms of each sentence that has any."""
     def task(batches):
         index = HashIndex(keys)
-        for piece, label in _chosen(batches, known):
+        for piece, label in _pieces(batches):
             sentence, row, term, _ = _hits(index, *text_buffer(piece.column("text")))
             bags: list[dict] = [{} for _ in label]
             for s, r, t in zip(sentence.tolist(), row.tolist(), term.tolist()):
@@ -141,7 +150,7 @@ def _bags(docs: DataFrame, known: dict, keys: np.ndarray) -> DataFrame:
                 [pa.array(label, pa.int64()), pa.array([list(b.values()) for b in bags], pa.list_(pa.list_(pa.int64())))],
                 ["label", "bag"])
 
-    return docs.select("doc_id", "text").mapInArrow(task, "label long, bag array<array<long>>")
+    return rows.mapInArrow(task, "label long, bag array<array<long>>")
 
 
 class Model:
@@ -214,10 +223,11 @@ def classify(docs: DataFrame, labels: DataFrame, held_out: int = 0, folds: int =
     known = sample(docs, labels, held_out, folds)
     keys = np.zeros(0, np.uint64)
     if len(set(known.values())) > 1:
-        keys = candidate_terms(docs, known)
+        rows = chosen(docs, known)
+        keys = candidate_terms(rows, known)
     model = Model(keys, np.zeros(0), -9.0)
     if len(keys):
-        bags = _bags(docs, known, keys).filter(F.size("bag") > 0)
+        bags = _bags(rows, keys).filter(F.size("bag") > 0)
         model = fit(bags.toArrow(), keys, len(known))  # at most LABELLED rows of term numbers
     return score(docs, model).select("doc_id", (bucket_of(F.col("doc_id"), folds) == held_out).alias("held_out"), "score",
                                      (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_offending", "offending")
