@@ -16,8 +16,8 @@ rows are pooled by language, and pooled over all if that is still too few. A
 pool below ``LEAST`` rows gives no verdict, so its rows pass.
 
 Scale: texts are read once; the concentration steps run on a narrow table with
-one aggregate per step (partial sums by group, so a hot group is no single
-task). The distance within which three quarters lie is read off a histogram of
+one aggregate per step (partial sums by group and bin; a group's rows meet its
+estimate in ``PARTS`` parts, so a hot group is no single task). The distance within which three quarters lie is read off a histogram of
 log distances (``BINS`` per doubling), which is exact about its rows and takes
 bounded memory: the subset holds every row of the bin that reaches the share.
 
@@ -48,6 +48,8 @@ BINS = 64
 FACTOR, CUTOFF = 1.486, 60.0
 FLOOR = (0.04, 0.06, 0.06, 0.06)
 DIMS = len(FLOOR)
+#: parts in which the rows of a group meet its estimate
+PARTS = 64
 #: a usual text, towards which short ones are smoothed: words, characters a word, lines
 PRIOR_WORDS, PRIOR_CHARS, PRIOR_LINES = 50, 5.0, 10
 
@@ -119,7 +121,18 @@ def _group(rows: DataFrame, by: list[str]) -> DataFrame:
     grp = F.when(F.col("n") >= MIN_ROWS, name(by)).when(F.col("pool") >= MIN_ROWS, name(level)).otherwise("all")
     fine = fine.select(*[F.col(c).alias(f"_{c}") for c in by], grp.alias("grp"))
     on = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by])
-    return rows.join(fine, on).drop(*[f"_{c}" for c in by])
+    part = F.pmod(F.xxhash64("doc_id", *XS), F.lit(PARTS)).cast("int")
+    return rows.join(fine, on).drop(*[f"_{c}" for c in by]).withColumn("part", part)
+
+
+def _meet(rows: DataFrame, table: DataFrame, how: str = "inner") -> DataFrame:
+    """Join a table by ``grp`` to the rows, whose groups are split into ``PARTS`` parts.
+
+    The part is a key of the join, so neither the join nor an aggregate after
+    it puts a hot group into one task, however the join is planned.
+    """
+    parts = table.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    return rows.join(parts, ["grp", "part"], how).drop("part")
 
 
 XS = [f"x{i + 1}" for i in range(DIMS)]
@@ -162,7 +175,7 @@ def _step(rows: DataFrame, est: DataFrame) -> DataFrame:
     gives both the distance that the share reaches and the sums within it.
     """
     bin_ = F.floor(F.log2(F.col("d2") + 1e-9) * BINS).cast("long")
-    far = _distance(rows.join(est, "grp")).withColumn("bin", bin_)
+    far = _distance(_meet(rows, est)).withColumn("bin", bin_)
     # at most some thousands of bins a group, whatever the rows
     one = F.struct("bin", *SUMS)
     bins = _sums(far, "grp", "start", "bin").groupBy("grp", "start").agg(
@@ -182,7 +195,7 @@ def estimates(rows: DataFrame) -> DataFrame:
     low = odd <= F.col("odd")
     starts = F.when(low & (F.abs(F.col("x1") - F.col("mid")) <= F.col("sd")), F.array(*map(F.lit, (0, 1, 2)))).when(
         low, F.array(*map(F.lit, (0, 1)))).otherwise(F.array(F.lit(0)))
-    subset = rows.join(mean, "grp").select("grp", F.explode(starts).alias("start"), *XS)
+    subset = _meet(rows, mean).select("grp", F.explode(starts).alias("start"), *XS)
     est = cut_lineage(_factor(_sums(subset, "grp", "start").withColumn("n_rows", F.col("n"))))
     for _ in range(STEPS):
         est = cut_lineage(_step(rows, est))
@@ -195,7 +208,7 @@ def judge(docs: DataFrame) -> DataFrame:
     """Statistics, ``base_failed``, ``distance`` (squared) and ``kept`` of every document."""
     rows = cut_lineage(statistics(docs, "lang", "source"))
     rows = cut_lineage(_group(rows, ["lang", "source"]))
-    out = _distance(rows.join(estimates(rows), "grp", "left"))
+    out = _distance(_meet(rows, estimates(rows), "left"))
     far = F.coalesce(F.col("d2") > CUTOFF, F.lit(False)) & (F.col("n_rows") >= LEAST)
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                       (~F.col("base_failed") & ~far).alias("kept"), F.col("d2").alias("distance"), "grp")
