@@ -11,7 +11,8 @@ that is joined once, and they link to one another without being paired.
 2. Candidates are compared ``STEP`` values at a time. After n values with m
    matches the posterior of the similarity (uniform prior) is Beta(m + 1, n - m
    + 1); a pair is dropped when the chance of 0.8 or more falls below
-   ``TOLERANCE``. Only a forest over the surviving pairs leaves the task.
+   ``TOLERANCE``. Only a forest over the surviving pairs leaves the task; in a
+   large bucket a text that the forest has reached meets only those it hasn't.
 3. Within the components of these pairs, all pairs are compared in the same
    way, and what is left is verified exactly on the whole shingle sets. A task
    returns counts of links and a forest over the linked, never pairs.
@@ -50,6 +51,8 @@ BANDS, ROWS = 36, 5
 HASHES = BANDS * ROWS
 STEP, TOLERANCE = 20, 1e-6
 BLOCK, BLOCK_BYTES = 512, 8 << 20
+#: Groups of more rows are walked instead of paired in the candidate stage.
+WIDE = 64
 #: Rows of (long, long) that may be broadcast: 16 MB.
 SMALL = 1_000_000
 SEED = 11
@@ -175,28 +178,57 @@ def _runs(batches, group: str, limit: int):
         yield pa.Table.from_batches(held)
 
 
-def _pairs(table: pa.Table, group: str):
-    """For each group of a table: (first row, pairs i, j as rows of the table)."""
+def _groups(table: pa.Table, group: str) -> list[tuple[int, int, bool]]:
+    """First row and end of each group (group, bi, bj) of a table, and whether it is two blocks."""
     key = np.column_stack([table.column(c).to_numpy() for c in (group, "bi", "bj")])
-    own = table.column("own").to_numpy()
-    edge = np.append(np.flatnonzero(np.append(True, (key[1:] != key[:-1]).any(axis=1))), len(key))
-    for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
-        if key[a, 1] == key[a, 2]:
-            i, j = np.triu_indices(b - a, 1)
-            yield a, b, a + i, a + j
-        else:
-            left, right = (a + np.flatnonzero(own[a:b] == key[a, x]) for x in (1, 2))
-            yield a, b, np.repeat(left, len(right)), np.tile(right, len(left))
+    edge = np.append(np.flatnonzero(np.append(True, (key[1:] != key[:-1]).any(axis=1))), len(key)).tolist()
+    return [(a, b, bool(key[a, 1] != key[a, 2])) for a, b in zip(edge[:-1], edge[1:])]
+
+
+def _pairs(own: np.ndarray, a: int, b: int, two: bool) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of the rows a to b: of one block, or of one with the other."""
+    if not two:
+        i, j = np.triu_indices(b - a, 1)
+        return a + i, a + j
+    first = own[a:b] == own[a]
+    left, right = a + np.flatnonzero(first), a + np.flatnonzero(~first)
+    return np.repeat(left, len(right)), np.tile(right, len(left))
 
 
 def _signatures(table: pa.Table) -> np.ndarray:
     return np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint16).reshape(-1, HASHES)
 
 
+def _walk(sig: np.ndarray, side: np.ndarray, two: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Surviving pairs that connect what all surviving pairs connect.
+
+    A row that is reached meets only the rows that aren't reached yet, so a group
+    of near copies takes about one comparison a row. With two sides (blocks of
+    a bucket) only rows of different sides meet.
+    """
+    free = np.ones(len(side), bool)
+    left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for start in np.argsort(side, kind="stable").tolist():
+        if not free[start]:
+            continue
+        free[start] = False
+        reached = [start]
+        while reached:
+            i = reached.pop()
+            others = np.flatnonzero(free & (side != side[i]) if two else free)
+            _, j = surviving(sig, np.full(len(others), i), others)
+            free[j] = False
+            reached += j.tolist()
+            left.append(np.full(len(j), i))
+            right.append(j)
+    return np.concatenate(left), np.concatenate(right)
+
+
 def _candidate_task(batches):
     """Forests over the surviving pairs of buckets."""
     for table in _runs(batches, "band", 4096):
         sig, node = _signatures(table), table.column("node").to_numpy()
+        own = table.column("own").to_numpy()
         held_i, held_j, n = [], [], 0
 
         def leave():
@@ -210,7 +242,11 @@ def _candidate_task(batches):
             label = local_labels(at[:len(i)], at[len(i):], len(nodes))
             return pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(nodes[label])], ["a", "b"])
 
-        for _, _, i, j in _pairs(table, "band"):
+        for a, b, two in _groups(table, "band"):
+            if b - a > WIDE:
+                i, j = (x + a for x in _walk(sig[a:b], own[a:b], two))
+            else:
+                i, j = _pairs(own, a, b, two)
             held_i.append(i)
             held_j.append(j)
             n += len(i)
@@ -227,8 +263,9 @@ def _verify_task(batches):
     for table in _runs(batches, "comp", 256):
         sig, node, copies = _signatures(table), table.column("node").to_numpy(), table.column("copies").to_numpy()
         text = table.column("text").combine_chunks()
-        for a, b, i, j in _pairs(table, "comp"):
-            i, j = surviving(sig, i, j)
+        block = table.column("own").to_numpy()
+        for a, b, two in _groups(table, "comp"):
+            i, j = surviving(sig, *_pairs(block, a, b, two))
             if not len(i):
                 continue
             s, begin = shingles(*text_buffer(text.slice(a, b - a)))

@@ -171,6 +171,23 @@ def test_near_groups_against_all_pairs(docs, rows, empty, monkeypatch):
     assert jaccard.one_of_each_group(docs).columns == docs.columns
 
 
+@pytest.mark.parametrize("two", [False, True])
+def test_walk_connects_what_all_pairs_connect(two):
+    from panelkit.llm.components import local_labels
+    rng = np.random.default_rng(3)
+    seeds = rng.integers(0, 1 << 16, (6, jaccard.HASHES), dtype=np.uint16)
+    sig = seeds[rng.integers(0, 6, 150)]
+    off = rng.random(sig.shape) < rng.uniform(0, 0.4, (150, 1))
+    sig[off] = rng.integers(0, 1 << 16, int(off.sum()), dtype=np.uint16)
+    side = rng.integers(0, 2, 150)
+    every = jaccard.surviving(sig, *jaccard._pairs(side, 0, 150, two))
+    some = jaccard._walk(sig, side, two)
+    assert (local_labels(*some, 150) == local_labels(*every, 150)).all()
+    assert len(some[0]) < len(every[0])
+    one = np.zeros(150, np.int64)  # a pair of blocks of which one is empty
+    assert not len(jaccard._walk(sig, one, True)[0]) and not len(jaccard._pairs(one, 0, 150, True)[0])
+
+
 def test_bayes_table_keeps_pairs_at_the_threshold():
     least = jaccard.least_matches()
     assert all(least[n] <= n * 0.8 for n in range(1, jaccard.HASHES + 1))
