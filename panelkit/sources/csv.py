@@ -32,8 +32,13 @@ def _listing(spark, directory, recursive=False):
         return []
 
 
-def read_csv(spark: SparkSession, path: str, schema=None) -> DataFrame:
-    r = spark.read.option("header", True).option("multiLine", False).option("escape", '"')
+def read_csv(spark: SparkSession, path: str, schema=None, multi_line: bool = True) -> DataFrame:
+    """A CSV file with a header; quoted records may hold line breaks.
+
+    Such a file can't be split, so each file is one task. Where no record holds
+    a line break, ``multi_line=False`` splits large files.
+    """
+    r = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
     return r.schema(schema).csv(path) if schema is not None else r.csv(path)
 
 

@@ -9,12 +9,13 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 def test_run_end_to_end(spark):
+    from panelkit.operators.models import SMALL_GRIDS
     from panelkit.plans.model_queries import pipeline_inputs
     from panelkit.plans.pipeline import run
     from panelkit.plans.queries import INDICATOR_MAP
 
     votes, wdi, sp = pipeline_inputs(spark, SF)
-    out = run(votes, wdi, sp, kinds=("nb", "lr"), order_by=["o_orderkey"], id_cols=["o_orderkey"],
+    out = run(votes, wdi, sp, kinds=("nb", "lr"), grids=SMALL_GRIDS, order_by=["o_orderkey"], id_cols=["o_orderkey"],
               topic_patterns=["urgent", "high", "medium"], indicator_mapping=INDICATOR_MAP)
     cmp = out["comparison"].collect()
     assert {r.model for r in cmp} == {"Naive Bayes", "Logistic Regression"}

@@ -70,3 +70,11 @@ def test_load_by_priority_pattern_walk(spark, dirs):
     _write_csv(orders.select("o_orderkey", "o_orderstatus"), f"{dirs}/wdi_walk/deep/WDI_Data_2023.csv")
     got = CSV.load_by_priority(spark, f"{dirs}/wdi_walk", min_bytes=10, min_rows=5)
     assert got.columns == ["o_orderkey", "o_orderstatus"] and got.count() == 1500
+
+
+def test_read_csv_keeps_quoted_line_breaks(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="pk-csv-"), "a.csv")
+    with open(path, "w") as f:
+        f.write('id,text\n1,"two\nlines"\n2,"a ""b"""\n')
+    got = {r.id: r.text for r in CSV.read_csv(spark, path).collect()}
+    assert got == {"1": "two\nlines", "2": 'a "b"'}
