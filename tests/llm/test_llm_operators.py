@@ -238,6 +238,28 @@ def test_suffix_tree_is_a_distribution():
         assert total == pytest.approx(1.0)
 
 
+def test_suffix_tree_nodes_do_not_fade_with_the_corpus(spark):
+    """Two occurrences retain a context in 2.5 M tokens as in few."""
+    rare = [(i, False, "alpha beta gamma delta") for i in range(2)]
+    filler = [(10 + i, False, " ".join(f"w{(i * 7 + k * k) % 997}" for k in range(25_000))) for i in range(100)]
+    docs = spark.createDataFrame(rare + filler + [(5, True, "beta gamma delta never")],
+                                 "doc_id long, held_out boolean, text string").repartition(4)
+    got = {r.doc_id: r for r in suffix_tree.score(docs, *suffix_tree.learn(docs)).collect()}
+    assert got[0].train_tokens > 2_400_000
+    assert got[0].score > got[0].base_score + 10 and got[5].score > got[5].base_score + 5
+
+
+def test_suffix_tree_tables_match_the_driver(docs):
+    from pyspark.sql import functions as F
+    from panelkit.llm.text import bucket_of
+    src = docs.select("doc_id", (bucket_of(F.col("doc_id"), 10) == 0).alias("held_out"), "text")
+    here = suffix_tree.score(src, *suffix_tree.learn(src)).collect()
+    for heavy in (0, 300):  # all weights in the join, or some
+        there = suffix_tree.score(src, *suffix_tree.learn(src, p_min=1e-3, small=0, heavy=heavy)).collect()
+        rows = [sorted((str(r[:5]), round(r.base_score, 6), round(r.score, 6)) for r in x) for x in (here, there)]
+        assert rows[0] == rows[1]
+
+
 def test_chat_round_trip(spark):
     rows = [(1, 0, "system", "a<b>\\l #x </turn>\n"), (1, 1, "user", None), (1, 2, "assistant", "\\### Assistant: </turn> ok"),
             (1, 3, "user", "é\\b"), (1, 4, "assistant", ""), (1, 5, "user", "tail"), (2, 0, "user", "only"),
