@@ -8,12 +8,15 @@ Level 0 takes the records as the input files deal them: each task's table finds
 the copies it holds and leaves, for each distinct text, one record that stands
 for its rows. So a text with very many copies is one record per task before
 anything is shuffled. ``_merge`` deals these records to buckets by hash. The
-number of buckets is doubled until the largest fits. If one hash alone holds
-more than a bucket, doubling can't help: its records are dealt by hash and a
-salt, collapsed, and merged again, which leaves one record per salt.
+number of buckets is doubled until the largest fits. A hash that alone holds
+more than ``BUCKET_BYTES`` can't be split by doubling and doesn't count there:
+its records are kept out of the buckets, dealt by hash and a salt, collapsed, and
+merged again, which leaves one record per salt. A record alone in such a hash (a
+very long text) has no copy and meets no table.
 
-Memory: a table holds each distinct text of its bucket once and is emptied
-beyond ``BUCKET_BYTES``; rows leave only their (id, class) behind.
+Memory: a bucket holds up to twice ``BUCKET_BYTES``. The tables of level 0 and of
+the salts are emptied beyond a limit, which is at least four records of the
+longest text where these have to be compared; rows leave only their (id, class) behind.
 
 Result: ``keep_id`` is the largest id of equal texts, ``group_size`` their
 number, ``kept`` marks one row. A null text counts as empty. Null ids are below
@@ -135,23 +138,32 @@ def _merge(stand: DataFrame, limit: int) -> DataFrame:
     h = F.xxhash64(fold_case(F.col("content")))
     weight = F.octet_length("content") + RECORD_BYTES
     buckets = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    by_hash = records.groupBy(h.alias("h")).agg(F.sum(weight).alias("held"))
+    by_hash = records.groupBy(h.alias("h")).agg(F.sum(weight).alias("held"), F.count("*").alias("records"))
     while True:
         by_bucket = by_hash.groupBy(F.pmod(F.xxhash64("h"), F.lit(buckets))).agg(
-            F.sum("held").alias("held"), F.max("held").alias("most"))
-        total, held, most = by_bucket.agg(F.sum("held"), F.max("held"), F.max("most")).first()
-        if not total or held <= 2 * limit or most > limit:
+            F.sum("held").alias("all"), F.sum(F.when(F.col("held") <= limit, F.col("held"))).alias("held"),
+            F.max("held").alias("most"))
+        total, held, most = by_bucket.agg(F.sum("all"), F.max("held"), F.max("most")).first()
+        if not held or held <= 2 * limit:
             break
         buckets = max(2 * buckets, total // limit)
-    if total and most > 2 * limit:  # one hash (or one long text) is more than a bucket
-        hot = by_hash.filter(F.col("held") > limit).withColumn("parts", F.ceil(F.col("held") / limit).cast("int"))
-        salted = records.withColumn("h", h).join(hot.drop("held"), "h", "left").withColumn(
-            "salt", F.pmod(F.xxhash64("row"), F.coalesce("parts", F.lit(1))))
-        out = cut_lineage(_collapse(salted.repartition(max(buckets, total // limit), "h", "salt"), [], 2 * limit))
-        if out.filter("first").count() < out.count():
-            return _lift(out, _merge(out.filter("first"), limit), ["row"])
-    out = _collapse(records.repartition(buckets, h), [], sys.maxsize)
-    return out.select("row", "keep", "size", "first")
+    if not total or most <= limit:
+        return _collapse(records.repartition(buckets, h), [], sys.maxsize).select("row", "keep", "size", "first")
+    # no doubling splits the hashes over the limit: they are taken out of the buckets
+    hot = by_hash.filter(F.col("held") > limit).withColumn(
+        "parts", F.least(F.ceil(F.col("held") / limit), F.ceil(F.col("records") / 2)).cast("int"))
+    marked = records.withColumn("h", h).join(F.broadcast(hot), "h", "left")  # at most total / limit hashes
+    plain = _collapse(marked.filter(F.col("parts").isNull()).repartition(buckets, "h"), [], sys.maxsize)
+    out = plain.select("row", "keep", "size", "first").union(  # a record alone in its hash has no copy
+        marked.filter("records = 1").select("row", F.col("top").alias("keep"), F.col("n").alias("size"), F.lit(True)))
+    many, longest = hot.filter("records > 1").agg(F.count("*"), F.max(F.col("held") / F.col("records"))).first()
+    if not many:
+        return out
+    # two records or more a salt on average, side by side, so each round leaves fewer
+    salted = marked.filter("records > 1").withColumn("salt", F.pmod(F.xxhash64("row"), F.col("parts")))
+    salted = salted.repartition(max(buckets, total // limit), "h", "salt").sortWithinPartitions("h", "salt")
+    once = cut_lineage(_collapse(salted, [], max(2 * limit, 4 * int(longest))))
+    return out.union(_lift(once, _merge(once.filter("first"), limit), ["row"]))
 
 
 def _lift(rows: DataFrame, above: DataFrame, cols: list[str]) -> DataFrame:

@@ -131,6 +131,30 @@ def test_exact_groups_levels_agree(docs, rows, empty):
     assert kept.columns == docs.columns and kept.count() == len(want)
 
 
+@pytest.mark.parametrize("copies", [1, 5, 40])
+def test_buckets_fit_beside_a_hot_text(spark, monkeypatch, copies):
+    """One hash over the limit stops neither the doubling nor joins the buckets, also if a text is over it alone."""
+    from pyspark.sql import functions as F
+    limit, size = 4000, 5000 if copies < 40 else 300
+    texts = [f"{k} " + "distinct " * 30 for k in range(800)] + ["Hot" * (size // 3)] * copies
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    seen, real = [], dedup._collapse
+
+    def spy(records, carry, most):
+        if most > 1 << 40:
+            weight = F.octet_length("content") + dedup.RECORD_BYTES
+            held = records.groupBy(F.spark_partition_id().alias("at")).agg(F.sum(weight).alias("held"))
+            seen.append(held.agg(F.max("held")).first()[0])
+        return real(records, carry, most)
+
+    monkeypatch.setattr(dedup, "_collapse", spy)
+    got = dedup.exact_groups(docs, limit=limit).collect()
+    assert len(got) == len(texts) and sum(r.kept for r in got) == 801
+    assert {(r.keep_id, r.group_size) for r in got if r.doc_id >= 800} == {(799 + copies, copies)}
+    assert all(r.keep_id == r.doc_id and r.group_size == 1 for r in got if r.doc_id < 800)
+    assert seen and max(x or 0 for x in seen) <= 2 * limit
+
+
 def test_content_table_compares_contents():
     table = dedup.ContentTable()
     numbers = [table.add(5, str(k % 100).encode()) for k in range(300)]  # one hash for all
