@@ -127,7 +127,7 @@ def prepared(spark, d):
 def _fit_eval(kind: str):
     def run(spark, d):
         tr, te = prepared(spark, d)
-        model, params, _ = MD.grid_search(kind, tr, MD.SMALL_GRIDS[kind])
+        model, params, _ = MD.grid_search(kind, tr, MD.FULL_GRIDS[kind])
         pred = MD.predict(model, te, kind, keep=("doc_id",))
         out = M.evaluate(pred, model=MD.MODEL_NAMES[kind])
         return out.select("model", *[F.round(c, 6).alias(c) for c in out.columns if c != "model"])
@@ -192,31 +192,31 @@ query("nb_metrics", NB_METRICS_SQL)(_fit_eval("nb"))
 def q_grid_scores(spark, d):
     """Cross-validated ROC-AUC (mean, std over 5 stratified folds) per grid point."""
     tr, _ = prepared(spark, d)
-    _, _, scores = MD.grid_search("lr", tr, {"C": [0.01, 1.0, 100.0], "penalty": ["l1", "l2"]})
+    _, _, scores = MD.grid_search("lr", tr, MD.FULL_GRIDS["lr"])
     return scores
 
 
 @query("lr_coefficients")
 def q_lr_coefficients(spark, d):
     tr, _ = prepared(spark, d)
-    model, _, _ = MD.grid_search("lr", tr, MD.SMALL_GRIDS["lr"])
+    model, _, _ = MD.grid_search("lr", tr, MD.FULL_GRIDS["lr"])
     return EX.coefficients(spark, model, FEATURES)
 
 
 @query("rf_importance")
 def q_rf_importance(spark, d):
     tr, _ = prepared(spark, d)
-    model, _, _ = MD.grid_search("rf", tr, MD.SMALL_GRIDS["rf"])
+    model, _, _ = MD.grid_search("rf", tr, MD.FULL_GRIDS["rf"])
     return EX.importance_frame(spark, model, FEATURES, MD.MODEL_NAMES["rf"])
 
 
 @query("compare_models")
 def q_compare_models(spark, d):
-    """Train NB and LR, compare on the test rows, add the best-model flag."""
+    """Train all six models, compare on the test rows, add the best-model flag."""
     tr, te = prepared(spark, d)
     preds = {}
-    for kind in ("nb", "lr"):
-        model, _, _ = MD.grid_search(kind, tr, MD.SMALL_GRIDS[kind])
+    for kind in MD.MODEL_NAMES:
+        model, _, _ = MD.grid_search(kind, tr, MD.FULL_GRIDS[kind])
         preds[MD.MODEL_NAMES[kind]] = MD.predict(model, te, kind, keep=("doc_id",))
     cmp = M.compare(preds)
     best = M.best_model(cmp).select(F.col("model").alias("_best"))

@@ -41,3 +41,29 @@ def test_grid_search_and_evaluate(spark):
         pred = MD.predict(model, te, kind, keep=("id",))
         row = M.evaluate(pred).first()
         assert row.roc_auc > 0.9 and scores.count() == len(MD.grid_points(MD.SMALL_GRIDS[kind]))
+
+
+def test_registered_queries_search_the_whole_grid(monkeypatch):
+    from panelkit.plans import model_queries as Q
+
+    class Stop(Exception):
+        pass
+
+    def stop(*_, **__):
+        raise Stop
+
+    calls = []
+    monkeypatch.setattr(Q, "prepared", lambda spark, d: (None, None))
+    monkeypatch.setattr(MD, "grid_search", lambda kind, tr, grid=None: calls.append((kind, grid)) or (None, None, None))
+    monkeypatch.setattr(MD, "predict", lambda *a, **k: None)
+    for at, name in ((Q.M, "compare"), (Q.M, "evaluate"), (Q.EX, "coefficients"), (Q.EX, "importance_frame")):
+        monkeypatch.setattr(at, name, stop)
+    queries = [Q._fit_eval(kind) for kind in MD.MODEL_NAMES] + [
+        Q.q_compare_models, Q.q_grid_scores, Q.q_lr_coefficients, Q.q_rf_importance]
+    for q in queries:
+        try:
+            q(None, None)
+        except Stop:
+            pass
+    assert [k for k, _ in calls] == [*MD.MODEL_NAMES, *MD.MODEL_NAMES, "lr", "lr", "rf"]
+    assert all((grid or MD.FULL_GRIDS[kind]) == MD.FULL_GRIDS[kind] for kind, grid in calls)
