@@ -80,9 +80,40 @@ def to_int(df, name: str) -> Column:
     return safe_int(c)
 
 
+_TIME_RE = r"([T ]\s*\d{1,2}:\d{2}.*)?$"
+_MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
+_MONTH_RE = (r"(jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sept?(?:ember)?"
+             r"|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)")
+# Date forms tried in order after ISO text: (regex, groups of year, month, day, time).
+# 01/02/2003 is 2 January (month first); 13/02/2003 can only be 13 February.
+DATE_FORMS = (
+    (r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})" + _TIME_RE, (3, 1, 2, 4)),
+    (r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})" + _TIME_RE, (3, 2, 1, 4)),
+    (r"^(\d{4})[/.](\d{1,2})[/.](\d{1,2})" + _TIME_RE, (1, 2, 3, 4)),
+    (r"^(\d{4})(\d{2})(\d{2})" + _TIME_RE, (1, 2, 3, 4)),
+    (r"(?i)^(\d{1,2})[ -]" + _MONTH_RE + r"\.?,?[ -](\d{4})" + _TIME_RE, (3, 2, 1, 4)),
+    (r"(?i)^" + _MONTH_RE + r"\.? (\d{1,2}),? (\d{4})" + _TIME_RE, (3, 1, 2, 4)),
+)
+
+
+def parse_date(c, kind: str) -> Column:
+    """Text (or a date / timestamp) -> ``kind``: ISO, else the first of ``DATE_FORMS`` that gives a date, else NULL."""
+    s = strip(col(c).cast("string"))
+    tries = [s.try_cast(kind)]
+    for rx, (y, m, d, t) in DATE_FORMS:
+        month = F.regexp_extract(s, rx, m)
+        if _MONTH_RE in rx:
+            names = F.array(*[F.lit(x) for x in _MONTHS])
+            month = F.array_position(names, F.lower(F.substring(month, 1, 3))).cast("string")
+        iso = F.concat(F.concat_ws("-", F.regexp_extract(s, rx, y), month, F.regexp_extract(s, rx, d)),
+                       F.regexp_replace(F.regexp_extract(s, rx, t), r"^[T ]\s*", " "))
+        tries.append(F.when(s.rlike(rx), F.trim(iso).try_cast(kind)))
+    return F.coalesce(*tries)
+
+
 def year_from_date(c) -> Column:
-    """'YYYY-MM-DD' text (or a date / timestamp) -> year INT."""
-    return F.year(col(c).cast("string").try_cast("date"))
+    """Date text of a known form (or a date / timestamp) -> year INT."""
+    return F.year(parse_date(c, "date"))
 
 
 def year_from_session(c) -> Column:

@@ -181,7 +181,7 @@ def clean_text_columns(df: DataFrame, cols=None) -> DataFrame:
 def convert_types(df: DataFrame, share: float = NUMERIC_SHARE) -> DataFrame:
     """Text columns where more than ``share`` of ALL rows parse as numbers
     become DOUBLE; text columns named like '*date*' (not exactly 'date')
-    become timestamps. One job for all columns' parse shares."""
+    become timestamps (``scalars.DATE_FORMS``). One job for all columns' parse shares."""
     scols = C.string_cols(df)
     out = df
     if scols:
@@ -193,7 +193,7 @@ def convert_types(df: DataFrame, share: float = NUMERIC_SHARE) -> DataFrame:
             out = out.withColumns({c: S.safe_double(F.col(_q(c))) for c in num})
     dates = [c for c in C.string_cols(out) if "date" in c.lower() and c != "date"]
     if dates:
-        out = out.withColumns({c: S.strip(F.col(_q(c))).try_cast("timestamp_ntz") for c in dates})
+        out = out.withColumns({c: S.parse_date(F.col(_q(c)), "timestamp_ntz") for c in dates})
     return out
 
 

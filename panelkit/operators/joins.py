@@ -50,7 +50,7 @@ def join_panel(fact: DataFrame, panel: DataFrame, keys=("country_code", "year"),
 
 
 def derive_year(votes: DataFrame) -> DataFrame:
-    """``year`` INT from year, else date (YYYY-MM-DD), else session
+    """``year`` INT from year, else date (ISO or ``DATE_FORMS``), else session
     (1945 + session), else the first column named like '*year*'."""
     cols = votes.columns
     if "year" in cols:

@@ -57,6 +57,19 @@ def test_convert_types_threshold(spark):
     assert types["a"] == "double" and types["b"] == "string" and types["ship_date"] == "timestamp_ntz"
 
 
+def test_convert_types_keeps_dates_of_other_forms(spark):
+    df = spark.createDataFrame([("2003-01-02",), ("01/02/2003",), ("2 Jan 2003 10:30",), ("soon",)], "ship_date string")
+    got = [str(r[0]) for r in CL.convert_types(df).collect()]
+    assert got == ["2003-01-02 00:00:00", "2003-01-02 00:00:00", "2003-01-02 10:30:00", "None"]
+
+
+def test_harmonize_keeps_rows_with_other_date_forms(spark):
+    from panelkit.operators.joins import harmonize
+    votes = spark.createDataFrame([("2003-01-02", "FRA"), ("01/02/2003", "FRA"), ("soon", "FRA")],
+                                  "date string, ms_code string")
+    assert [r.year for r in harmonize(votes, filter_issues=False).collect()] == [2003, 2003]
+
+
 def _outlier_df(spark):
     # x has two high outliers; z constant (IQR 0); w all NULL
     xs = [1.0, 2.0, 2.0, 3.0, 3.0, 3.0, 4.0, 4.0, 5.0, 6.0, 100.0, 200.0]

@@ -42,3 +42,12 @@ def test_norm_key_and_clip(spark):
 def test_truncate_label(spark):
     long = "x" * 45
     assert one_col(spark, [long, "short"], S.truncate_label) == ["x" * 40 + "...", "short"]
+
+
+def test_dates_of_several_forms(spark):
+    texts = ["2003-01-02", "01/02/2003", "13/02/2003", "2003/1/2", "20030102", "2 Jan 2003", "January 2, 2003", "2-Sept-2003",
+             "02.01.2003", "1/2/2003 10:11:12", "2003-01-02T10:11:12", "31/31/2003", "2 Foo 2003", "1/2/2003x", "", None]
+    days = one_col(spark, texts, lambda c: S.parse_date(c, "date").cast("string"))
+    assert days == ["2003-01-02", "2003-01-02", "2003-02-13", "2003-01-02", "2003-01-02", "2003-01-02", "2003-01-02",
+                    "2003-09-02", "2003-02-01", "2003-01-02", "2003-01-02", None, None, None, None, None]
+    assert one_col(spark, texts, S.year_from_date) == [d and 2003 for d in days]
