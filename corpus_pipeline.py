@@ -9,7 +9,10 @@ what a stage returns as Parquet in the shared folder and reads it again.
 3. N-gram Jaccard join: of each group the row with the smallest id stays.
 4. Mixing: sources weigh 5, 2, 1 by code point; 150 % of the words that are
    left, no source above two epochs. A document taken twice is two rows.
-5. SentencePiece: ids and number of pieces of each row.
+5. SentencePiece: ids and number of pieces of each row, and the digest of what
+   the ids decode to.
+
+Without labels of both kinds there is no classifier, and stage 1 keeps all.
 
 A null text is an empty text. Ids name documents: rows that share an id are
 taken equally often by the mix. An empty table gives empty stages.
@@ -18,6 +21,7 @@ taken equally often by the mix. An empty table gives empty stages.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from panelkit.llm import dedup, encode, jaccard, mixing, pieces, quality_model
 from panelkit.llm.tables import cut_lineage, read
@@ -41,7 +45,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     vocab = pieces.Vocabulary.load(encode.MODEL)
-    return encode.encode(docs.select("doc_id", "source", "lang", "text"), vocab, encode.MODEL)
+    coded = encode.encode(docs.select("doc_id", "source", "lang", "text"), vocab, encode.MODEL)
+    back = encode.decode(coded, vocab, encode.MODEL, "back")
+    return back.select(*coded.columns, F.sha2("back", 256).alias("decoded_sha256"))
 
 
 STAGES = [
@@ -49,7 +55,7 @@ STAGES = [
     ("exact dedup", exact_dedup),
     ("n-gram Jaccard join", near_dedup),
     ("mixing sources to target weights", mix),
-    ("SentencePiece encoding", tokenize),
+    ("SentencePiece encoding and decoding", tokenize),
 ]
 
 #: SQL can't express the classifier, the joins at this size or the encoding.

@@ -16,7 +16,8 @@ the statistics in a narrow join.
 
 Inputs: a null text is empty and gets a score like any other; a null label is
 no label; of a repeated label the largest is used; without labelled rows, or
-with one class only, the score is the share of good labels (0.5 without any).
+with one class only, the score is the share of good labels (0.5 without any), and
+``good_documents`` keeps every document.
 Extra columns are carried by ``good_documents``. An empty table gives an empty
 result.
 """
@@ -264,9 +265,11 @@ def classify(docs: DataFrame, labels: DataFrame, held_out: int = 2, folds: int =
 
 
 def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the classifier doesn't reject, with their columns."""
+    """The documents that the classifier doesn't reject, with their columns; all where no model can be fitted."""
     stats = cut_lineage(document_statistics(docs, "doc_id"))
     model = fit(_labelled(stats, labels, "quality", 2, 4))
+    if not isinstance(model, Model):
+        return docs
     again = score(document_statistics(docs.withColumn("_all", F.struct(*docs.columns)), "_all"), model)
     return again.filter(F.col("score") >= THRESHOLD).select("_all.*")
 

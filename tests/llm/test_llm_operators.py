@@ -426,3 +426,14 @@ def test_toxic_sentences_located(spark):
     assert next(r for r in got if r.doc_id == 1000).score == 0
     assert toxicity.classify(docs.limit(0), labels).count() == 0
     assert all(r.score == 0 for r in toxicity.classify(docs, labels.limit(0)).collect())
+
+
+def test_pipeline_keeps_all_without_a_model_and_shows_the_round_trip(spark, docs, rows):
+    import corpus_pipeline
+    for label in ([], [(1, None)], [(1, 0), (2, 0)]):
+        labels = spark.createDataFrame(label, "doc_id long, quality int")
+        kept = quality_model.good_documents(docs, labels)
+        assert kept.columns == docs.columns and kept.count() == len(rows)
+    coded = corpus_pipeline.tokenize(spark, docs, "").collect()
+    want = collections.Counter((r[0], hashlib.sha256((r[1] or "").encode()).hexdigest()) for r in rows)
+    assert collections.Counter((r.doc_id, r.decoded_sha256) for r in coded) == want
