@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from panelkit.llm import chat, dedup, encode, jaccard, mixing, outliers, quality_model, suffix_tree, toxicity
+from panelkit.llm import chat, dedup, encode, jaccard, mixing, outliers, quality_model, setsketch, suffix_tree, toxicity
 
 QUERIES = {
     "op1_mixing": mixing.op1_mixing,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_dedup": dedup.op9_dedup,
     "op10_token_counts": encode.op10_token_counts,
+    "op13_setsketch": setsketch.op13_setsketch,
     "pipeline": corpus_pipeline.run,
 }
 
