@@ -10,7 +10,9 @@ similarity of 0.8 or more.
    union are the maxima of the registers (``merge``), and two sets agree in a
    register about as often as their similarity says.
 2. **Bands.** Sets that agree in all ``ROWS`` registers of one of ``BANDS`` bands
-   are candidates; at 0.8 a pair misses all bands with a chance below 10^-6.
+   are candidates; at 0.8 a pair misses all bands with a chance below 10^-6. The
+   bands go in waves: a bucket whose members the bands before have connected
+   isn't looked at again, so a large group of near copies meets in a few bands only.
 3. **Joint likelihood.** How many registers of a pair are larger, smaller and
    equal is multinomial, with chances that follow from the two (known) set
    sizes and the similarity. The similarity that makes the counts likeliest is
@@ -52,6 +54,8 @@ N, PERCENT = 4, 80
 BANDS, ROWS = 36, 5
 REGISTERS = BANDS * ROWS
 B, RATE, TOP = 1.001, 20.0, 65_535
+#: The bands go in waves (first band of each, and the end): what the first wave connects needs no later buckets.
+WAVES = (0, 6, BANDS)
 #: Twice the log likelihood ratio beyond which a pair is dropped.
 RATIO = 28.0
 BLOCK, BLOCK_BYTES = 512, 8 << 20
@@ -318,13 +322,14 @@ def _cross(rows: DataFrame) -> DataFrame:
     return met.withColumn("bi", F.least("own", "other")).withColumn("bj", F.greatest("own", "other"))
 
 
-def connected(members: DataFrame, sizes: DataFrame, exact: bool) -> DataFrame:
-    """(node, root) of all nodes with links, from members (grp, node, n, sig[, shingles], weight).
+def connected(members: DataFrame, sizes: DataFrame, exact: bool, edges: DataFrame | None = None,
+              labels: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """All edges, and (node, root) of all nodes with edges, from members (grp, node, n, sig[, shingles], weight).
 
-    ``sizes`` (grp, parts) says into how many blocks each group with two members or more is dealt.
+    ``sizes`` (grp, parts) says into how many blocks each group with two members or more is dealt. Edges
+    that are known already come with their labels.
     """
-    labels = members.sparkSession.createDataFrame([], "node long, root long")
-    edges, before, salt, now = None, None, 0, members.join(sizes, "grp")
+    before, salt, now = None, 0, members.join(sizes, "grp")
     while True:
         rows = _with_labels(now, labels) if edges is not None else now.withColumn("label", F.col("node"))
         own = F.pmod(F.xxhash64("node", F.lit(salt)), F.col("parts"))
@@ -334,20 +339,20 @@ def connected(members: DataFrame, sizes: DataFrame, exact: bool) -> DataFrame:
         if not salt:
             large = sizes.filter("parts > 1")
             if large.isEmpty():
-                return labels
+                return edges, labels
             now = cut_lineage(members.join(large, "grp"))
         # groups whose members don't all have one label yet
         left = _with_labels(now.select("grp", "node"), labels).groupBy("grp", "label").agg(F.lit(1).alias("one"))
         left = cut_lineage(left.groupBy("grp").agg(F.count("*").alias("n_labels")).filter("n_labels > 1"))
         total = left.agg(F.sum("n_labels")).first()[0] or 0
         if not total:
-            return labels
+            return edges, labels
         now = now.join(left.select("grp"), "grp", "left_semi")
         if before is not None and 2 * total > before:
             break
         before, salt = total, salt + 1
-    found = cut_lineage(_edges(_cross(_with_labels(now, labels)), exact))
-    return cut_lineage(components(edges.unionByName(found)))
+    edges = edges.unionByName(cut_lineage(_edges(_cross(_with_labels(now, labels)), exact)))
+    return edges, cut_lineage(components(edges))
 
 
 def near_components(docs: DataFrame) -> DataFrame:
@@ -358,11 +363,17 @@ def near_components(docs: DataFrame) -> DataFrame:
         F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.first("n").alias("n"),
         F.first("sig").alias("sig"), F.first("bands").alias("bands")))
 
-    bands = classes.select("node", F.explode("bands").alias("grp"))
-    shared = cut_lineage(bands.groupBy("grp").agg(F.count("*").alias("m")).filter("m > 1").select(
-        "grp", F.ceil(F.col("m") / BLOCK).alias("parts")))
-    members = bands.join(shared.select("grp"), "grp", "left_semi").join(classes.select("node", "n", "sig"), "node")
-    near = connected(members.withColumn("weight", F.lit(0)), shared, exact=False)
+    edges = near = None
+    for first, last in zip(WAVES[:-1], WAVES[1:]):
+        some = F.explode(F.slice("bands", first + 1, last - first)).alias("grp")
+        bands = (_with_labels(classes, near) if near is not None else classes.withColumn("label", F.col("node"))).select(
+            "node", "label", some)
+        # buckets whose members aren't connected by the bands before
+        shared = bands.groupBy("grp").agg(F.count("*").alias("m"), F.min("label").alias("a"), F.max("label").alias("b"))
+        shared = cut_lineage(shared.filter("a <> b").select("grp", F.ceil(F.col("m") / BLOCK).alias("parts")))
+        members = bands.select("node", "grp").join(shared.select("grp"), "grp", "left_semi").join(
+            classes.select("node", "n", "sig"), "node").withColumn("weight", F.lit(0))
+        edges, near = connected(members, shared, False, edges, near)
 
     inside = near.withColumnRenamed("root", "grp").join(classes.select("node", "rep", "n", "sig"), "node")
     narrow = inside.select(F.col("rep").alias("doc_id"), "grp")
@@ -375,7 +386,7 @@ def near_components(docs: DataFrame) -> DataFrame:
                          .join(sets, ["node", "grp"]))
     sizes = cut_lineage(inside.groupBy("grp").agg(F.greatest(
         F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("weight") / BLOCK_BYTES)).alias("parts")))
-    links = connected(inside, sizes, exact=True)
+    _, links = connected(inside, sizes, True)
 
     found = classes.select("node", "rep", "copies").join(links, "node", "left").filter("copies > 1 OR root IS NOT NULL")
     found = cut_lineage(found.withColumn("root", F.coalesce("root", "node")))
