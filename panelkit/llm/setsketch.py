@@ -322,32 +322,28 @@ def _cross(rows: DataFrame) -> DataFrame:
     return met.withColumn("bi", F.least("own", "other")).withColumn("bj", F.greatest("own", "other"))
 
 
-def connected(members: DataFrame, sizes: DataFrame, exact: bool, edges: DataFrame | None = None,
+def connected(members: DataFrame, exact: bool, edges: DataFrame | None = None,
               labels: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """All edges, and (node, root) of all nodes with edges, from members (grp, node, n, sig[, shingles], weight).
+    """All edges, and (node, root) of all nodes with edges, from members (grp, parts, node, n, sig[, shingles], weight).
 
-    ``sizes`` (grp, parts) says into how many blocks each group with two members or more is dealt. Edges
-    that are known already come with their labels.
+    ``parts`` says into how many blocks the group is dealt. Edges that are known already come with their labels.
     """
-    before, salt, now = None, 0, members.join(sizes, "grp")
+    before, salt, now = None, 0, members
     while True:
         rows = _with_labels(now, labels) if edges is not None else now.withColumn("label", F.col("node"))
         own = F.pmod(F.xxhash64("node", F.lit(salt)), F.col("parts"))
         found = cut_lineage(_edges(rows.withColumn("own", own).withColumn("bi", own).withColumn("bj", own), exact))
         edges = found if edges is None else edges.unionByName(found)
         labels = cut_lineage(components(edges))
-        if not salt:
-            large = sizes.filter("parts > 1")
-            if large.isEmpty():
-                return edges, labels
-            now = cut_lineage(members.join(large, "grp"))
+        if not salt:  # a group of one block is done
+            now = cut_lineage(members.filter("parts > 1"))
         # groups whose members don't all have one label yet
         left = _with_labels(now.select("grp", "node"), labels).groupBy("grp", "label").agg(F.lit(1).alias("one"))
         left = cut_lineage(left.groupBy("grp").agg(F.count("*").alias("n_labels")).filter("n_labels > 1"))
         total = left.agg(F.sum("n_labels")).first()[0] or 0
         if not total:
             return edges, labels
-        now = now.join(left.select("grp"), "grp", "left_semi")
+        now = cut_lineage(now.join(left.select("grp"), "grp", "left_semi"))
         if before is not None and 2 * total > before:
             break
         before, salt = total, salt + 1
@@ -371,9 +367,8 @@ def near_components(docs: DataFrame) -> DataFrame:
         # buckets whose members aren't connected by the bands before
         shared = bands.groupBy("grp").agg(F.count("*").alias("m"), F.min("label").alias("a"), F.max("label").alias("b"))
         shared = cut_lineage(shared.filter("a <> b").select("grp", F.ceil(F.col("m") / BLOCK).alias("parts")))
-        members = bands.select("node", "grp").join(shared.select("grp"), "grp", "left_semi").join(
-            classes.select("node", "n", "sig"), "node").withColumn("weight", F.lit(0))
-        edges, near = connected(members, shared, False, edges, near)
+        members = bands.select("node", "grp").join(shared, "grp").join(classes.select("node", "n", "sig"), "node")
+        edges, near = connected(members.withColumn("weight", F.lit(0)), False, edges, near)
 
     inside = near.withColumnRenamed("root", "grp").join(classes.select("node", "rep", "n", "sig"), "node")
     narrow = inside.select(F.col("rep").alias("doc_id"), "grp")
@@ -386,7 +381,7 @@ def near_components(docs: DataFrame) -> DataFrame:
                          .join(sets, ["node", "grp"]))
     sizes = cut_lineage(inside.groupBy("grp").agg(F.greatest(
         F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("weight") / BLOCK_BYTES)).alias("parts")))
-    _, links = connected(inside, sizes, True)
+    _, links = connected(inside.join(sizes, "grp"), True)
 
     found = classes.select("node", "rep", "copies").join(links, "node", "left").filter("copies > 1 OR root IS NOT NULL")
     found = cut_lineage(found.withColumn("root", F.coalesce("root", "node")))
