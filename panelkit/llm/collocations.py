@@ -12,9 +12,9 @@ words ``[^\\x20\\x09]+``. Everything is counted per lang.
    fingerprints. The map has ``2 ** BITS`` bits (16 MB) at any size; it can let too
    many through, never too few.
 3. **Verification and materialising.** A last pass reads the texts again. Occurrences
-   of frequent fingerprints are grouped by fingerprint, with the first occurrence in
-   the slice as pointer; each one is compared with the text at its pointer, and where
-   they differ the group is split by text. Only these phrases become strings, and
+   of frequent fingerprints are grouped by fingerprint, one occurrence of each as
+   pointer; all are compared by text (their words' numbers in a dictionary of the
+   slice), and groups that hold several texts are split. Only these phrases become strings, and
    the shuffle adds up counts by phrase, so a collision changes no result.
 4. **Scores.** Each cut of a phrase meets the counts of its two parts in joins; sums
    and products are decimals of 38 digits.
@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,9 +41,9 @@ from panelkit.llm.text import FOLD, LOWER, UPPER, _spans, mix, slices, span_hash
 
 LEAST, LONGEST, TOP, COVER, SCALE = 30, 4, 2000, 80, 2_000_000
 #: log2 of the bits of a map of fingerprints; fingerprints held by a task before it adds them up.
-BITS, HELD = 27, 3_000_000
+BITS, HELD = 27, 2_000_000
 #: Text bytes that the last pass looks at together (a phrase is one row a slice).
-SLICE = 12 << 20
+SLICE = 4 << 20
 
 BREAK = np.zeros(256, bool)
 BREAK[[ord(c) for c in ".,;:!?"] + [0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -67,7 +68,8 @@ class Slice:
     def __init__(self, piece: pa.RecordBatch):
         raw, offsets = text_buffer(piece.column("text"))
         self.data = FOLD[raw]
-        self.starts, self.ends = _spans(~GAP[raw], offsets)
+        self.inside = ~GAP[raw]
+        self.starts, self.ends = _spans(self.inside, offsets)
         self.hashes = self.word_hashes()
         row = np.searchsorted(offsets, self.starts, side="right") - 1
         breaks = np.concatenate([[0], np.cumsum(BREAK[raw])])[self.starts]
@@ -95,21 +97,12 @@ class Slice:
         key = mix((self.prefix[at + n] - self.prefix[at]) * self.down[at] + self.seed[at] + np.uint64(n))
         return has(known, key)
 
-    def word_codes(self) -> tuple[np.ndarray, list[str]]:
-        """A number for each word and the words: equal numbers mean equal bytes."""
-        _, first, code = np.unique(self.hashes, return_index=True, return_inverse=True)
-        size, like = self.ends - self.starts, first[code]
-        same = size == size[like]
-        if same.all():  # compare every occurrence with the first one, byte by byte
-            at = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-            same = (self.data[np.repeat(self.starts, size) + at] == self.data[np.repeat(self.starts[like], size) + at])
-        raw = self.data.tobytes()
-        spans = zip(self.starts.tolist(), self.ends.tolist())
-        if not same.all():
-            seen: dict[bytes, int] = {}
-            code = np.array([seen.setdefault(raw[a:b], len(seen)) for a, b in spans], np.int64)
-            return code, [w.decode() for w in seen]
-        return code, [raw[a:b].decode() for a, b in zip(self.starts[first].tolist(), self.ends[first].tolist())]
+    def word_codes(self) -> tuple[np.ndarray, pa.Array]:
+        """A number for each word, and the words by number: told apart by their text."""
+        ends = np.concatenate([[0], np.cumsum(self.ends - self.starts)])
+        text = pa.LargeStringArray.from_buffers(len(self.starts), pa.py_buffer(ends), pa.py_buffer(self.data[self.inside]))
+        coded = text.dictionary_encode()
+        return coded.indices.to_numpy(), coded.dictionary
 
 
 def _lang_seeds(langs: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -165,20 +158,31 @@ def _phrase_task(batches, maps: dict[int, np.ndarray]):
                     i, key = i[on], key[on]
                 if not len(i):
                     continue
-                _, pointer, group, count = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
-                like = i[pointer][group]
-                if not ((s.lang[i] == s.lang[like]).all() and all((code[i + k] == code[like + k]).all() for k in range(n))):
-                    text = np.column_stack([s.lang[i], *[code[i + k] for k in range(n)]])
-                    _, pointer, count = np.unique(text, axis=0, return_index=True, return_counts=True)
+                pointer, count = _groups(key, [s.lang[i], *[code[i + k] for k in range(n)]])
                 at = i[pointer]
-                parts = [[word[c] for c in code[at + k].tolist()] for k in range(n)]
-                phrase = parts[0] if n == 1 else [" ".join(p) for p in zip(*parts)]
-                lang = s.langs[s.lang[at]].tolist()
+                phrase = word.take(pa.array(code[at]))
+                for k in range(1, n):
+                    phrase = pc.binary_join_element_wise(phrase, word.take(pa.array(code[at + k])), pa.scalar(" ", pa.large_string()))
+                lang = pa.array(s.langs.tolist(), pa.string()).take(pa.array(s.lang[at]))
+                out = pa.record_batch([lang, pa.array(np.full(len(at), n, np.int32)), phrase.cast(pa.string()), pa.array(count)],
+                                      ["lang", "n", "phrase", "count"])
                 for lo in range(0, len(at), 50_000):
-                    hi = lo + 50_000
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(lang[lo:hi], pa.string()), pa.array(np.full(len(at[lo:hi]), n, np.int32)),
-                         pa.array(phrase[lo:hi], pa.string()), pa.array(count[lo:hi])], ["lang", "n", "phrase", "count"])
+                    yield out.slice(lo, 50_000)
+
+
+def _groups(key: np.ndarray, text: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(one occurrence, count) of each phrase. Occurrences are grouped by fingerprint; in a group each one is
+    compared with the text of the one before it, and groups that hold several texts are grouped by text."""
+    order = np.argsort(key)
+    new = np.concatenate([[True], key[order][1:] != key[order][:-1]])
+    if not all((new[1:] | (t[order][1:] == t[order][:-1])).all() for t in text):
+        order = np.lexsort(text[::-1])
+        new = np.zeros(len(key), bool)
+        new[0] = True
+        for t in text:
+            new[1:] |= t[order][1:] != t[order][:-1]
+    first = np.flatnonzero(new)
+    return order[first], np.diff(first, append=len(key))
 
 
 def _map_of(keys: DataFrame) -> np.ndarray:
