@@ -5,8 +5,8 @@ forest, gradient-boosted trees, linear SVM (with a Platt-scaled
 probability) and Gaussian naive Bayes. Class-balanced weights go to LR, DT,
 RF and SVM. Naive Bayes is written with DataFrame aggregates only (per-class
 mean / population variance), so its fit is one grouped aggregate and it is
-checkable in SQL; it is wrapped as an ML Estimator so ``CrossValidator``
-can tune it like the others.
+checkable in SQL. Boosted trees are ``panelkit.operators.boosting``;
+searches are ``panelkit.operators.tuning``.
 
 Scoring always uses ROC-AUC computed exactly (``numBins=0``), not Spark's
 default 1000-bin down-sampled curve.
@@ -19,17 +19,16 @@ import warnings
 
 from pyspark import StorageLevel, keyword_only
 from pyspark.ml import Estimator, Model
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC,
+from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC,
                                        LogisticRegression, RandomForestClassifier)
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol, Param, Params, TypeConverters
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelkit.functions.constants import NB_STD_EPS, SEED
+from panelkit.operators.boosting import BoostedTrees
 from panelkit.operators.stats import class_weights
 
 # Grids as in the reference search (solver axis, min_samples_split and the
@@ -60,6 +59,7 @@ MAX_DEPTH = 30  # Spark's limit stands in for "unbounded"
 # regression) and 1e-3 (SVM); Spark's 1e-6 default only adds iterations,
 # each of which is a distributed job.
 SOLVER_TOL = 1e-4
+PARTITION_BYTES = 64 << 20
 
 
 # --- Gaussian naive Bayes as DataFrame aggregates ------------------------------------
@@ -212,13 +212,13 @@ def estimator(kind: str, n_train: int, features: str = "features", label: str =
             return {est.numTrees: p["n_estimators"], est.maxDepth: p["max_depth"] or MAX_DEPTH,
                     est.featureSubsetStrategy: p["max_features"]}
     elif kind == "gbt":
-        est = GBTClassifier(featuresCol=features, labelCol=label, seed=seed)
+        est = BoostedTrees(featuresCol=features, labelCol=label, seed=seed)
 
         def pm(p):
             return {est.maxIter: p["n_estimators"], est.maxDepth: p["max_depth"],
                     est.stepSize: p["learning_rate"], est.subsamplingRate: p["subsample"]}
     elif kind == "svc":
-        est = LinearSVC(featuresCol=features, labelCol=label, maxIter=min(max_iter, 100), tol=SOLVER_TOL, **wc)
+        est = LinearSVC(featuresCol=features, labelCol=label, maxIter=max_iter, tol=SOLVER_TOL, **wc)
 
         def pm(p):
             return {est.regParam: 1.0 / (p["C"] * max(n_train, 1))}
@@ -259,50 +259,54 @@ class PlattSVC:
         return c.withColumn("prediction", F.col("_svm_pred")).drop("_margin", "_mf", "_svm_pred")
 
 
-def calibrate_svc(model, train: DataFrame, label: str = "label"):
-    s = model.transform(train).withColumn("_margin", vector_to_array("rawPrediction")[1])
-    s = VectorAssembler(inputCols=["_margin"], outputCol="_mf").transform(s)
-    lr = LogisticRegression(featuresCol="_mf", labelCol=label, maxIter=100).fit(
-        s.select("_mf", label))
+def calibrate_svc(model, margins: DataFrame):
+    """The sigmoid over the margin, fitted on (label, score) rows whose margins
+    come from models that have not seen them: the margins of a model's own training rows
+    lie too far out and would make the probability overconfident."""
+    s = VectorAssembler(inputCols=["score"], outputCol="_mf").transform(margins.select("label", "score"))
+    lr = LogisticRegression(featuresCol="_mf", labelCol="label", maxIter=100).fit(s.select("_mf", "label"))
     return PlattSVC(model, lr)
 
 
+def search_input(data: DataFrame, n_rows: int, n_features: int) -> DataFrame:
+    """The training rows in as few partitions as their bytes need: every
+    optimizer iteration and every tree level is a job over all of them."""
+    need = max(1, math.ceil(n_rows * (n_features + 4) * 8 / PARTITION_BYTES))
+    return data.coalesce(need)  # never more than there are
+
+
 def grid_search(kind: str, train: DataFrame, grid: dict | None = None, fold_col: str = "fold",
-                features: str = "features", label: str = "label", parallelism: int = 4,
+                features: str = "features", label: str = "label", parallelism: int = 8,
                 seed: int = SEED, k: int = 5):
     """Stratified k-fold grid search scored by exact ROC-AUC; refits the best
-    point on all training rows. Returns (model, best params, scores DataFrame)."""
-    grid = grid or FULL_GRIDS[kind]
+    point on all training rows. Returns (model, best params, scores DataFrame).
+
+    ``tuning.held_out_scores`` makes the folds' scores (staged fits for the tree
+    families, additive statistics for naive Bayes). The SVM's probability is
+    fitted on the best point's held-out margins."""
+    from panelkit.operators import tuning
+
+    points = grid_points(grid or FULL_GRIDS[kind])
     weight = "weight" if kind in WEIGHTED else None
     data = with_class_weights(train, label) if weight else train
-    # every optimizer iteration of every fold re-reads the training rows:
-    # keep them cached for the search (the lineage behind is a short read of
-    # a lineage cut, so a lost executor recomputes cheaply)
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    n_train = data.count()
+    n_train = train.count()
+    data = search_input(data, n_train, tuning.width(train, features)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _grid_search(kind, data, train, grid, fold_col, features, label, parallelism, seed, k,
-                            n_train, weight)
+        if kind == "gbt":
+            long, model_of = tuning.boosted_search(data, points, fold_col, features, label, seed)
+        else:
+            long = tuning.held_out_scores(kind, data, points, fold_col, features, label, weight, seed, parallelism)
+            est, param_map = estimator(kind, n_train, features, label, weight, seed)
+            model_of = lambda i: est.fit(data, param_map(points[i]))
+        scores = tuning.point_scores(long, len(points))
+        best_i = max(range(len(points)), key=lambda i: (scores[i][0], -i))
+        model = model_of(best_i)
+        if kind == "svc":
+            model = calibrate_svc(model, long.where(F.col("point") == best_i))
     finally:
         data.unpersist()
-
-
-def _grid_search(kind, data, train, grid, fold_col, features, label, parallelism, seed, k, n_train, weight):
-    est, pm = estimator(kind, n_train, features, label, weight, seed)
-    points = grid_points(grid)
-    maps = [pm(p) for p in points]
-    ev = BinaryClassificationEvaluator(rawPredictionCol="rawPrediction", labelCol=label,
-                                       metricName="areaUnderROC", numBins=0)
-    cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=ev, foldCol=fold_col,
-                        numFolds=k, parallelism=parallelism, seed=seed, collectSubModels=False)
-    cvm = cv.fit(data)
-    scores = list(zip([str(p) for p in points], cvm.avgMetrics, cvm.stdMetrics))
-    best_i = max(range(len(points)), key=lambda i: (cvm.avgMetrics[i], -i))
-    model = cvm.bestModel
-    if kind == "svc":
-        model = calibrate_svc(model, data, label)
     sdf = train.sparkSession.createDataFrame(
-        [(MODEL_NAMES[kind], p, float(m), float(s)) for p, m, s in scores],
+        [(MODEL_NAMES[kind], str(p), *scores[i]) for i, p in enumerate(points)],
         "model string, params string, mean_auc double, std_auc double")
     return model, points[best_i], sdf
 
@@ -315,7 +319,7 @@ def predict(model, df: DataFrame, kind: str, keep=("row_id",), label: str = "lab
 
 
 def train_all(train: DataFrame, kinds=("lr", "dt", "rf", "gbt", "svc", "nb"), grids: dict | None = None,
-              fold_col: str = "fold", parallelism: int = 4, k: int = 5) -> dict:
+              fold_col: str = "fold", parallelism: int = 8, k: int = 5) -> dict:
     """Fit every model; a failing model is skipped with a warning."""
     out = {}
     for kind in kinds:
@@ -331,6 +335,8 @@ def cv_score(kind: str, train: DataFrame, fold_col: str = "fold", k: int = 5, fe
              label: str = "label", seed: int = SEED) -> DataFrame | None:
     """Default-parameter model scored by k-fold CV: mean ROC-AUC and the
     mean +- 2 std band; only run when there are more than 2k rows."""
+    from panelkit.operators import tuning
+
     n = train.count()
     if n <= 2 * k:
         return None
@@ -338,8 +344,11 @@ def cv_score(kind: str, train: DataFrame, fold_col: str = "fold", k: int = 5, fe
                 "rf": {"n_estimators": 100, "max_depth": None, "max_features": "sqrt"},
                 "gbt": {"n_estimators": 100, "max_depth": 3, "learning_rate": 0.1, "subsample": 1.0},
                 "svc": {"C": 1.0}, "nb": {"var_smoothing": 1e-9}}
-    _, _, scores = grid_search(kind, train, {p: [v] for p, v in defaults[kind].items()}, fold_col,
-                               features, label, seed=seed, k=k)
-    return scores.select("model", "mean_auc", "std_auc",
-                         (F.col("mean_auc") - 2 * F.col("std_auc")).alias("low"),
-                         (F.col("mean_auc") + 2 * F.col("std_auc")).alias("high"))
+    weight = "weight" if kind in WEIGHTED else None
+    data = with_class_weights(train, label) if weight else train
+    data = search_input(data, n, tuning.width(train, features))
+    long = tuning.held_out_scores(kind, data, [defaults[kind]], fold_col, features, label, weight, seed)
+    mean, std = tuning.point_scores(long, 1)[0]
+    return train.sparkSession.createDataFrame(
+        [(MODEL_NAMES[kind], mean, std, mean - 2 * std, mean + 2 * std)],
+        "model string, mean_auc double, std_auc double, low double, high double")

@@ -53,7 +53,7 @@ def range_buckets(df: DataFrame, order_by, n_buckets: int | None = None,
     return cut_lineage(dealt.withColumn(BKT, F.spark_partition_id()))
 
 
-def _join_keys(left: DataFrame, right: DataFrame, keys, how: str = "left") -> DataFrame:
+def join_keys(left: DataFrame, right: DataFrame, keys, how: str = "left") -> DataFrame:
     """Equi-join where NULL keys match NULL keys (a NULL partition key is a
     partition of its own, as in ``Window.partitionBy``)."""
     keys = list(keys)
@@ -86,7 +86,7 @@ def prefix_sums(df: DataFrame, order_by, value_cols, partition_by=(), descending
     wl = (Window.partitionBy(*part, BKT).orderBy(*_ordered([*order_by, TB], descending))
           .rowsBetween(Window.unboundedPreceding, 0))
     local = b.select("*", *[F.sum(v).over(wl).alias(f"_l_{v}") for v in value_cols])
-    out = _join_keys(local, carry, [*part, BKT])
+    out = join_keys(local, carry, [*part, BKT])
     return out.select(*df.columns, *[(F.col(f"_l_{v}") + F.coalesce(F.col(f"_c_{v}"), F.lit(0)))
                                      .alias(prefix + v) for v in value_cols])
 
@@ -125,7 +125,7 @@ def ordered_fill(df: DataFrame, cols, order_by, partition_by=(), direction: str
               .rowsBetween(0, Window.unboundedFollowing))
         local = [F.first(c, ignorenulls=True).over(wl) for c in cols]
     filled = b.select("*", *[e.alias(f"_l_{c}") for e, c in zip(local, cols)])
-    out = _join_keys(filled, carry, [*part, BKT])
+    out = join_keys(filled, carry, [*part, BKT])
     return out.select(*[F.coalesce(F.col(f"_l_{c}"), F.col(f"_c_{c}")).alias(c) if c in cols
                         else F.col(c) for c in df.columns])
 
@@ -156,7 +156,7 @@ def ffill_bfill(df: DataFrame, cols, order_by, partition_by=(), n_buckets=None)
         .alias(f"_f_{c}") for c in cols])
     filled = ffill(df, cols, order_by, part, n_buckets)
     if part:
-        j = _join_keys(filled, firsts, part)
+        j = join_keys(filled, firsts, part)
     else:
         j = filled.crossJoin(F.broadcast(firsts))  # exactly one row
     return j.select(*[F.coalesce(F.col(c), F.col(f"_f_{c}")).alias(c) if c in cols

@@ -39,12 +39,12 @@ def _share(pattern: str):
 
 
 def dq_features(spark, d) -> DataFrame:
-    doc = table(spark, d, "documents").select("doc_id", "text", "n_chars")
-    lb = table(spark, d, "labels").select("doc_id", "quality")
-    return doc.join(lb, "doc_id").select(
-        "doc_id", F.col("quality").cast("double").alias("label"),
-        _share("[^a-zA-Z]").alias("letter_share"), _share("[^0-9]").alias("digit_share"),
+    # shares in the scan's stage: four numbers a document meet the labels, not its text
+    doc = table(spark, d, "documents").select(
+        "doc_id", _share("[^a-zA-Z]").alias("letter_share"), _share("[^0-9]").alias("digit_share"),
         _share("[^ ]").alias("space_share"), _share("[^A-Z]").alias("upper_share"))
+    lb = table(spark, d, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
+    return doc.join(lb, "doc_id").select("doc_id", "label", *FEATURES)
 
 
 DQF_SQL = """
@@ -212,15 +212,76 @@ def q_rf_importance(spark, d):
 
 @query("compare_models")
 def q_compare_models(spark, d):
-    """Train all six models, compare on the test rows, add the best-model flag."""
+    """Train all six models, compare on the test rows, add the winning parameters of
+    each and the best-model flag."""
     tr, te = prepared(spark, d)
-    preds = {}
-    for kind in MD.MODEL_NAMES:
-        model, _, _ = MD.grid_search(kind, tr, MD.FULL_GRIDS[kind])
-        preds[MD.MODEL_NAMES[kind]] = MD.predict(model, te, kind, keep=("doc_id",))
+    preds, won = {}, []
+    for kind, name in MD.MODEL_NAMES.items():
+        model, params, _ = MD.grid_search(kind, tr, MD.FULL_GRIDS[kind])
+        preds[name] = MD.predict(model, te, kind, keep=("doc_id",))
+        won.append((name, str(params)))
     cmp = M.compare(preds)
     best = M.best_model(cmp).select(F.col("model").alias("_best"))
-    return cmp.crossJoin(best).withColumn("is_best", F.col("model") == F.col("_best")).drop("_best")
+    params = spark.createDataFrame(won, "model string, params string")
+    return cmp.join(F.broadcast(params), "model").crossJoin(best).withColumn(
+        "is_best", F.col("model") == F.col("_best")).drop("_best")  # one row per model
+
+
+_CURVES_SQL = f"""
+WITH {DQF_SQL.strip()},
+long AS ({" UNION ALL ".join(f"SELECT '{c}' AS model, label, {c} AS score, CASE WHEN {c} > 0.3 THEN 1.0 ELSE 0.0 END AS prediction FROM dqf" for c in _SHARES)}),
+st AS (SELECT model, score, sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS pos, sum(CASE WHEN label = 1 THEN 0 ELSE 1 END) AS neg
+       FROM long GROUP BY model, score),
+cum AS (SELECT *, sum(pos) OVER w AS cum_pos, sum(neg) OVER w AS cum_neg, sum(pos) OVER (PARTITION BY model) AS P,
+               sum(neg) OVER (PARTITION BY model) AS N
+        FROM st WINDOW w AS (PARTITION BY model ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+rk AS (SELECT model, sum(neg * (cum_pos - pos / 2.0)) / (max(P) * max(N)) AS roc_auc,
+              sum(CASE WHEN pos > 0 THEN (pos / P) * (cum_pos / (cum_pos + cum_neg)) END) AS pr_auc FROM cum GROUP BY model),
+c AS (SELECT model, sum(CASE WHEN label = 1 AND prediction = 1 THEN 1 ELSE 0 END) AS tp,
+             sum(CASE WHEN label = 0 AND prediction = 1 THEN 1 ELSE 0 END) AS fp,
+             sum(CASE WHEN label = 0 AND prediction = 0 THEN 1 ELSE 0 END) AS tn,
+             sum(CASE WHEN label = 1 AND prediction = 0 THEN 1 ELSE 0 END) AS fn FROM long GROUP BY model),
+cells AS (SELECT * FROM (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) t(label, prediction))
+SELECT 'roc' AS chart, model, round(score, 6) AS a, round(cum_neg / N, 6) AS b, round(cum_pos / P, 6) AS c FROM cum
+UNION ALL SELECT DISTINCT 'roc', model, CAST('inf' AS DOUBLE), 0.0, 0.0 FROM cum
+UNION ALL SELECT 'pr', model, round(score, 6), round(cum_pos / (cum_pos + cum_neg), 6), round(cum_pos / P, 6)
+          FROM cum WHERE cum_pos - pos < P
+UNION ALL SELECT DISTINCT 'pr', model, NULL, 1.0, 0.0 FROM cum
+UNION ALL SELECT 'confusion', m.model, cells.label, cells.prediction,
+                 (SELECT count(*) FROM long l WHERE l.model = m.model AND l.label = cells.label AND l.prediction = cells.prediction)
+          FROM (SELECT DISTINCT model FROM long) m, cells
+UNION ALL SELECT 'quality', model, round((tp + tn) / (tp + fp + tn + fn), 6), round(coalesce(tp / nullif(tp + fp, 0), 0), 6),
+                 round(coalesce(tp / nullif(tp + fn, 0), 0), 6) FROM c
+UNION ALL SELECT 'areas', model, round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 6), round(roc_auc, 6), round(pr_auc, 6)
+          FROM c JOIN rk USING (model)
+UNION ALL SELECT 'baseline', NULL, round(avg(label), 6), NULL, NULL FROM dqf"""
+
+
+@query("model_tables", _CURVES_SQL)
+def q_model_tables(spark, d):
+    """The chart tables of several models (E8) in one pass, as (chart, model, a, b, c).
+
+    The models here are the four text shares as scores, cut at 0.3. quality: accuracy,
+    precision, recall; areas: f1, ROC area, average precision."""
+    df = cut_lineage(dq_features(spark, d))
+    preds = {c: df.select("label", F.col(c).alias("score"), (F.col(c) > 0.3).cast("double").alias("prediction"))
+             for c in FEATURES}
+    t = M.model_tables(preds)
+
+    def chart(name, frame, a, b, c):
+        cols = [F.round(F.col(x).cast("double"), 6).alias(y) if x else F.lit(None).cast("double").alias(y)
+                for x, y in ((a, "a"), (b, "b"), (c, "c"))]
+        model = F.col("model") if "model" in frame.columns else F.lit(None).cast("string").alias("model")
+        return frame.select(F.lit(name).alias("chart"), model, *cols)
+
+    out = chart("roc", t["roc"], "threshold", "fpr", "tpr")
+    for part in (chart("pr", t["pr"], "threshold", "precision", "recall"),
+                 chart("confusion", t["confusion"], "label", "prediction", "count"),
+                 chart("quality", t["comparison"], "accuracy", "precision", "recall"),
+                 chart("areas", t["comparison"], "f1", "roc_auc", "pr_auc"),
+                 chart("baseline", t["pr_baseline"], "prevalence", None, None)):
+        out = out.unionByName(part)
+    return out
 
 
 # --- whole preparation pipeline on driver-derived inputs -------------------------------------
@@ -260,8 +321,53 @@ def q_pipeline_prepare(spark, d):
                    indicator_mapping=INDICATOR_MAP)
 
 
-@query("cv_score_nb")
+_SMOOTHINGS = MD.FULL_GRIDS["nb"]["var_smoothing"]
+
+
+def _nb_cv_sql(smoothings) -> str:
+    """Mean and deviation over five folds of the ROC area of naive Bayes, by smoothing."""
+    values = ", ".join(f"({i}, CAST({e!r} AS DOUBLE), '{str({'var_smoothing': e}).replace(chr(39), chr(39) * 2)}')"
+                       for i, e in enumerate(smoothings))
+    head = NB_METRICS_SQL[:NB_METRICS_SQL.index("long AS (")].rstrip().rstrip(",")
+    long = " UNION ALL ".join(f"SELECT doc_id, label, fold, 'f{i}' AS feature, f{i} AS x FROM fo" for i in range(len(_SHARES)))
+    return f"""{head},
+fo AS (SELECT *, (row_number() OVER (PARTITION BY label ORDER BY md5(CAST(doc_id AS VARCHAR) || '-42'), doc_id) - 1) % 5 AS fold
+       FROM z WHERE NOT is_test),
+lf AS ({long}),
+sm AS (SELECT * FROM (VALUES {values}) t(point, eps, params)),
+tr AS (SELECT k, label, feature, x FROM lf, (SELECT unnest(range(5)) AS k) ks WHERE fold <> k),
+gs AS (SELECT k, max(v) AS mx, max(n) AS n FROM (SELECT k, feature, var_pop(x) AS v, count(*) AS n FROM tr GROUP BY k, feature)
+       GROUP BY k),
+fit AS (SELECT tr.k, label, feature, count(*) / max(gs.n) AS prior, avg(x) AS mean, var_pop(x) AS v0, max(gs.mx) AS mx
+        FROM tr JOIN gs ON gs.k = tr.k GROUP BY tr.k, label, feature),
+jll AS (SELECT point, l.fold, l.doc_id, max(l.label) AS y, f.label,
+               ln(max(f.prior)) - sum(0.5 * ln(2 * pi() * (v0 + eps * mx)) + (x - mean) * (x - mean) / (2 * (v0 + eps * mx))) AS j
+        FROM lf l JOIN fit f ON l.fold = f.k AND l.feature = f.feature, sm GROUP BY point, l.fold, l.doc_id, f.label),
+p AS (SELECT point, fold, doc_id, max(y) AS label,
+             max(CASE WHEN label = 1 THEN j END) - max(CASE WHEN label = 0 THEN j END) AS score
+      FROM jll GROUP BY point, fold, doc_id),
+st AS (SELECT point, fold, score, sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS pos, sum(CASE WHEN label = 1 THEN 0 ELSE 1 END) AS neg
+       FROM p GROUP BY point, fold, score),
+cum AS (SELECT *, sum(pos) OVER (PARTITION BY point, fold ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+        AS cum_pos FROM st),
+auc AS (SELECT point, fold, sum(neg * (cum_pos - pos / 2.0)) / (sum(pos) * sum(neg)) AS auc FROM cum GROUP BY point, fold)"""
+
+
+@query("cv_score_nb", f"""{_nb_cv_sql([1e-9])}
+SELECT 'Naive Bayes' AS model, round(avg(auc), 6) AS mean_auc, round(stddev_pop(auc), 6) AS std_auc,
+       round(avg(auc) - 2 * stddev_pop(auc), 6) AS low, round(avg(auc) + 2 * stddev_pop(auc), 6) AS high FROM auc""")
 def q_cv_score_nb(spark, d):
     """Default-parameter naive Bayes, 5-fold CV ROC-AUC mean +- 2 std (M8)."""
     tr, _ = prepared(spark, d)
-    return MD.cv_score("nb", tr)
+    out = MD.cv_score("nb", tr)
+    return out.select("model", *[F.round(c, 6).alias(c) for c in out.columns[1:]])
+
+
+@query("nb_grid_scores", f"""{_nb_cv_sql(_SMOOTHINGS)}
+SELECT 'Naive Bayes' AS model, max(params) AS params, round(avg(auc), 6) AS mean_auc, round(stddev_pop(auc), 6) AS std_auc
+FROM auc JOIN sm USING (point) GROUP BY point""")
+def q_nb_grid_scores(spark, d):
+    """Cross-validated ROC-AUC of every smoothing, from the additive statistics of the folds (M7)."""
+    tr, _ = prepared(spark, d)
+    _, _, scores = MD.grid_search("nb", tr, MD.FULL_GRIDS["nb"])
+    return scores.select("model", "params", F.round("mean_auc", 6).alias("mean_auc"), F.round("std_auc", 6).alias("std_auc"))

@@ -712,11 +712,10 @@ dq AS (
 
 def dq(spark, d) -> DataFrame:
     """documents x labels: letter share as score, its 0.7 cut as prediction."""
-    doc = table(spark, d, "documents").select("doc_id", "text", "n_chars")
-    lb = table(spark, d, "labels").select("doc_id", "quality")
     score = F.length(F.regexp_replace("text", "[^a-zA-Z]", "")) / F.col("n_chars")
-    return (doc.join(lb, "doc_id")
-               .select("doc_id", F.col("quality").cast("double").alias("label"), score.alias("score"))
+    doc = table(spark, d, "documents").select("doc_id", score.alias("score"))  # a number meets the labels, not the text
+    lb = table(spark, d, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
+    return (doc.join(lb, "doc_id").select("doc_id", "label", "score")
                .withColumn("prediction", (F.col("score") > 0.7).cast("double")))
 
 
