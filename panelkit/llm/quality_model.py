@@ -270,8 +270,15 @@ def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model = fit(_labelled(stats, labels, "quality", 2, 4))
     if not isinstance(model, Model):
         return docs
-    again = score(document_statistics(docs.withColumn("_all", F.struct(*docs.columns)), "_all"), model)
-    return again.filter(F.col("score") >= THRESHOLD).select("_all.*")
+    text = docs.columns.index("text")
+
+    def task(batches):  # statistics, score and verdict of a slice together; a row is there once
+        for batch in batches:
+            for piece in slices(batch, text):
+                good = model.score(statistics(*text_buffer(piece.column(text)))) >= THRESHOLD
+                yield piece.filter(pa.array(good))
+
+    return docs.mapInArrow(task, docs.schema)
 
 
 def op5_quality(spark, sf_dir: str) -> DataFrame:
