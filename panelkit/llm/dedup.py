@@ -139,8 +139,8 @@ def _merge(stand: DataFrame, limit: int) -> DataFrame:
     weight = F.octet_length("content") + RECORD_BYTES
     buckets = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     by_hash = records.groupBy(h.alias("h")).agg(F.sum(weight).alias("held"), F.count("*").alias("records"))
-    while True:
-        by_bucket = by_hash.groupBy(F.pmod(F.xxhash64("h"), F.lit(buckets))).agg(
+    while True:  # F.hash is what repartition deals by
+        by_bucket = by_hash.groupBy(F.pmod(F.hash("h"), F.lit(buckets))).agg(
             F.sum("held").alias("all"), F.sum(F.when(F.col("held") <= limit, F.col("held"))).alias("held"),
             F.max("held").alias("most"))
         total, held, most = by_bucket.agg(F.sum("all"), F.max("held"), F.max("most")).first()
