@@ -41,9 +41,9 @@ from panelkit.llm.text import FOLD, LOWER, UPPER, _spans, mix, slices, span_hash
 
 LEAST, LONGEST, TOP, COVER, SCALE = 30, 4, 2000, 80, 2_000_000
 #: log2 of the bits of a map of fingerprints; fingerprints held by a task before it adds them up.
-BITS, HELD = 27, 2_000_000
-#: Text bytes that the last pass looks at together (a phrase is one row a slice).
-SLICE = 4 << 20
+BITS, HELD = 27, 500_000
+#: Text bytes that a counting pass looks at together, and the last pass (there a phrase is one row a slice).
+COUNT_SLICE, SLICE = 1 << 20, 2 << 20
 
 BREAK = np.zeros(256, bool)
 BREAK[[ord(c) for c in ".,;:!?"] + [0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -56,7 +56,7 @@ _POWERS: dict = {}
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """STEP ** k and STEP ** -k modulo 2^64."""
     if n > len(_POWERS.get("up", ())):
-        size = max(n, 1 << 20)
+        size = max(n, 1 << 18)
         for name, base in (("up", STEP), ("down", pow(STEP, -1, 1 << 64))):
             _POWERS[name] = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size, base, np.uint64)]))
     return _POWERS["up"], _POWERS["down"]
@@ -130,7 +130,7 @@ def _count_task(batches, n: int, known: np.ndarray | None):
                                              ["key", "count"])
 
     for batch in batches:
-        for piece in slices(batch, "text"):
+        for piece in slices(batch, "text", COUNT_SLICE):
             s = Slice(piece)
             i, key = s.grams(n)
             if known is not None:
