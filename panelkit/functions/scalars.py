@@ -167,3 +167,27 @@ def present(df, c: str) -> Column:
 
 def nan_to_null(c) -> Column:
     return F.nanvl(col(c), F.lit(None).cast("double"))
+
+
+def order_key(c) -> Column:
+    """The order-preserving 64-bit image of a DOUBLE: the bits of |x|, negated below 0.
+
+    NULL and NaN give NULL; -0.0 is 0. Powers of two scale exactly, so the exponent and the 52
+    bits of the fraction come out of plain arithmetic."""
+    x = nan_to_null(col(c).cast("double"))
+    a = F.abs(x)
+    guess = F.floor(F.log2(a))
+    # log2 may round over a power of two
+    e = (guess - (a < F.pow(F.lit(2.0), guess)).cast("long") + (a >= F.pow(F.lit(2.0), guess + 1)).cast("long"))
+    normal = F.shiftleft(e + 1023, 52) + ((a / F.pow(F.lit(2.0), e) - 1) * F.lit(2.0 ** 52)).cast("long")
+    tiny = (a * F.lit(2.0 ** 537) * F.lit(2.0 ** 537)).cast("long")
+    bits = (F.when(a == 0, F.lit(0).cast("long")).when(a == F.lit(float("inf")), F.lit(2047 << 52).cast("long"))
+            .when(a < F.lit(2.0 ** -1022), tiny).otherwise(normal))
+    return F.when(x < 0, -bits).otherwise(bits)
+
+
+def from_order_key(key: int) -> float:
+    """The DOUBLE of an order key (a Python number)."""
+    import struct
+    value = struct.unpack("<d", struct.pack("<q", abs(key)))[0]
+    return -value if key < 0 else value

@@ -200,7 +200,7 @@ def convert_types(df: DataFrame, share: float = NUMERIC_SHARE) -> DataFrame:
 # --- outliers ---------------------------------------------------------------------
 
 def outlier_bounds(df: DataFrame, cols, method: str = "iqr", threshold: float = ZSCORE_THRESHOLD,
-                   exact_limit: int = ST.EXACT_LIMIT) -> dict:
+                   exact_limit: int | None = None) -> dict:
     """{col: (lo, hi, usable_for_removal)} from one statistics job."""
     out = {}
     if method == "iqr":
@@ -222,7 +222,7 @@ def outlier_bounds(df: DataFrame, cols, method: str = "iqr", threshold: float =
 
 def remove_outliers(df: DataFrame, cols=None, method: str = "iqr", strictness: str = "moderate",
                     threshold: float = ZSCORE_THRESHOLD, exclude=(), exempt_prefixes=tuple(MERGED_PREFIXES),
-                    exact_limit: int = ST.EXACT_LIMIT) -> DataFrame:
+                    exact_limit: int | None = None) -> DataFrame:
     """IQR or z-score outliers.
 
     strict: drop a row flagged in any column; moderate: flagged in more than

@@ -35,7 +35,7 @@ def dedupe_first(df: DataFrame, keys, order_by=()) -> DataFrame:
 
 def impute(df: DataFrame, order_by, threshold: float = SPARSE_THRESHOLD,
            priority=tuple(PRIORITY_FEATURES), partition_by=(),
-           exact_limit: int = ST.EXACT_LIMIT) -> DataFrame:
+           exact_limit: int | None = None) -> DataFrame:
     """Drop sparse columns, median-impute numeric columns (an all-NULL column
     gets 0), then forward / backward fill what is still missing in
     ``order_by`` order. Medians come from one statistics job. The order and

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,10 +16,8 @@ from panelkit.functions import columns as C
 from panelkit.functions import scalars as S
 from panelkit.functions.constants import EDA_ENTITY_CANDIDATES, EDA_TOPIC_CANDIDATES
 
-# Exact percentiles keep every distinct value of a column in one buffer; this
-# is the largest non-NULL count for which that single buffer is accepted.
-EXACT_LIMIT = 2_000_000
-ROWS_PER_BUCKET = 200_000
+# Bits that a pass of the quantile selection looks at.
+DIGIT = 13
 
 
 def _q(c: str) -> str:
@@ -29,96 +26,71 @@ def _q(c: str) -> str:
 
 # --- quantiles ---------------------------------------------------------------
 
-def quantiles(df: DataFrame, cols, probs, exact_limit: int = EXACT_LIMIT) -> dict:
+def quantiles(df: DataFrame, cols, probs, exact_limit: int | None = None) -> dict:
     """Exact quantiles with linear interpolation: {col: [value per prob]}.
 
-    Up to ``exact_limit`` non-NULL values per column the exact ``percentile``
-    aggregate runs in one job. Beyond that, values are bucketed by approximate
-    bounds, the bucket holding each target rank is found from bucket counts,
-    and the exact value is selected inside that bucket (duplicates collapsed
-    first), so no task ever holds a whole column.
+    Radix selection, the same at every size, for all columns and ranks together.
+    Each value is its order-preserving 64-bit image (``scalars.order_key``). A
+    pass counts the values by the next ``DIGIT`` bits, under the leading bits that
+    the wanted ranks have so far; the digit that holds a rank goes on. A rank is
+    found when its digit holds one distinct value, after ``64 / DIGIT`` passes at most (two
+    or three as a rule). A pass is one partially aggregated job, and the driver sees at
+    most ``2^DIGIT`` counts a column and rank. ``exact_limit`` has no effect any more.
     """
-    cols = list(cols)
-    probs = [float(p) for p in probs]
+    cols, probs = list(cols), [float(p) for p in probs]
     if not cols:
         return {}
-    counts = df.agg(*[F.count(S.nan_to_null(F.col(_q(c)).cast("double"))).alias(c) for c in cols]).first().asDict()
-    small = [c for c in cols if counts[c] <= exact_limit]
-    big = [c for c in cols if counts[c] > exact_limit]
-    out = {}
-    if small:
-        row = df.agg(*[F.percentile(S.nan_to_null(F.col(_q(c)).cast("double")), probs).alias(c)
-                       for c in small]).first().asDict()
-        for c in small:
-            out[c] = list(row[c]) if row[c] is not None else [None] * len(probs)
-    if big:
-        out.update(_bucketed_quantiles(df, big, probs, counts))
-    return out
-
-
-def _bucketed_quantiles(df: DataFrame, cols, probs, counts) -> dict:
-    n_max = max(counts[c] for c in cols)
-    nb = max(2, min(10_000, math.ceil(n_max / ROWS_PER_BUCKET)))
-    acc = max(10_000, 10 * nb)
-    grid = [i / nb for i in range(1, nb)]
-    vals = df.select(*[S.nan_to_null(F.col(_q(c)).cast("double")).alias(c) for c in cols])
-    brow = vals.agg(*[F.percentile_approx(c, grid, acc).alias(c) for c in cols]).first().asDict()
-    splits = []
-    for c in cols:
-        inner = sorted({float(b) for b in (brow[c] or []) if b is not None and math.isfinite(b)})
-        splits.append([float("-inf"), *inner, float("inf")])
-    bcols = [f"_b{i}" for i in range(len(cols))]
-    bucketed = Bucketizer(splitsArray=splits, inputCols=cols, outputCols=bcols,
-                          handleInvalid="keep").transform(vals)
-    pairs = F.explode(F.array(*[
-        F.when(F.col(c).isNotNull(), F.struct(F.lit(i).alias("k"), F.col(b).cast("int").alias("b"),
-                                              F.col(c).alias("v")))
-        for i, (c, b) in enumerate(zip(cols, bcols))]))
-    long = bucketed.select(pairs.alias("p")).where(F.col("p").isNotNull()).select("p.*")
-    bcount = {(r["k"], r["b"]): r["n"] for r in long.groupBy("k", "b").agg(F.count("*").alias("n")).collect()}
-    # target 0-based ranks per column
-    wanted = {}
-    for i, c in enumerate(cols):
-        n = counts[c]
-        for p in probs:
-            pos = p * (n - 1)
-            for r in {int(math.floor(pos)), min(n - 1, int(math.floor(pos)) + 1)}:
-                wanted.setdefault(i, set()).add(r)
-    need = []  # (k, bucket, local rank, global rank)
-    for i in wanted:
-        cum, order = 0, sorted(b for (k, b) in bcount if k == i)
-        starts = {}
-        for b in order:
-            starts[b] = cum
-            cum += bcount[(i, b)]
-        for r in wanted[i]:
-            b = max(x for x in order if starts[x] <= r)
-            need.append((i, b, r - starts[b], r))
-    keys = F.array(*[F.struct(F.lit(k).alias("k"), F.lit(b).alias("b")) for k, b in {(k, b) for k, b, _, _ in need}])
-    sel = long.where(F.array_contains(keys, F.struct("k", "b")))
-    distinct = sel.groupBy("k", "b", "v").agg(F.count("*").alias("n"))
-    w = Window.partitionBy("k", "b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = distinct.withColumn("hi", F.sum("n").over(w)).withColumn("lo", F.col("hi") - F.col("n"))
-    # only the rows holding a wanted rank reach the driver (one per wanted rank)
-    wanted_df = df.sparkSession.createDataFrame(need, "k int, b int, local long, glob long")
-    hits = (ranked.join(F.broadcast(wanted_df), ["k", "b"])
-                  .where((F.col("lo") <= F.col("local")) & (F.col("local") < F.col("hi")))
-                  .select("k", "glob", "v").collect())
-    value_at = {(r["k"], r["glob"]): r["v"] for r in hits}
+    pairs = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), S.order_key(F.col(_q(c))).alias("key"))
+                                for k, c in enumerate(cols)]))
+    keys = df.select(pairs.alias("p")).select("p.*").where(F.col("key").isNotNull())
+    found: dict = {}   # (column, rank) -> key
+    prefix: dict = {}  # (column, rank) -> (leading bits, rank among the values that have them)
+    size, shift, up = {}, 64, None
+    while shift > 0:
+        up, shift = shift, max(0, shift - DIGIT)
+        digit = F.shiftright("key", shift)
+        if prefix:
+            wanted = df.sparkSession.createDataFrame(sorted({(k, p) for (k, _), (p, _) in prefix.items()}), "k int, lead long")
+            rows = keys.withColumn("lead", F.shiftright("key", up)).join(F.broadcast(wanted), ["k", "lead"])  # a row a rank
+        else:
+            rows = keys
+        counted = rows.groupBy("k", digit.alias("digit")).agg(
+            F.count("*").alias("n"), F.min("key").alias("lo"), F.max("key").alias("hi")).collect()
+        if not size:
+            for r in counted:
+                size[r.k] = size.get(r.k, 0) + r.n
+            for k, n in size.items():
+                for p in probs:
+                    low = math.floor(p * (n - 1))
+                    prefix |= {(k, rank): (None, rank) for rank in (low, min(n - 1, low + 1))}
+        by_lead: dict = {}
+        for r in sorted(counted, key=lambda r: r.digit):
+            lead = r.digit >> (up - shift) if up < 64 else None
+            by_lead.setdefault((r.k, lead), []).append(r)
+        for (k, rank), (lead, left) in list(prefix.items()):
+            for r in by_lead[k, lead]:
+                if left < r.n:
+                    break
+                left -= r.n
+            if r.lo == r.hi:
+                found[k, rank] = r.lo
+                del prefix[k, rank]
+            else:
+                prefix[k, rank] = (r.digit, left)
+        if not prefix:
+            break
     out = {}
-    for i, c in enumerate(cols):
-        n, res = counts[c], []
-        for p in probs:
-            pos = p * (n - 1)
-            lo = int(math.floor(pos))
-            hi = min(n - 1, lo + 1)
-            a, b = value_at[(i, lo)], value_at[(i, hi)]
-            res.append(a if a == b else a + (b - a) * (pos - lo))  # inf - inf would be NaN
-        out[c] = res
+    for k, c in enumerate(cols):
+        out[c] = [None] * len(probs) if k not in size else []
+        for p in probs if k in size else ():
+            at = p * (size[k] - 1)
+            low = math.floor(at)
+            a, b = (S.from_order_key(found[k, rank]) for rank in (low, min(size[k] - 1, low + 1)))
+            out[c].append(a if a == b else a + (b - a) * (at - low))  # inf - inf would be NaN
     return out
 
 
-def medians(df: DataFrame, cols, exact_limit: int = EXACT_LIMIT) -> dict:
+def medians(df: DataFrame, cols, exact_limit: int | None = None) -> dict:
     return {c: v[0] for c, v in quantiles(df, cols, [0.5], exact_limit).items()}
 
 
@@ -289,7 +261,7 @@ def eda_tables(df: DataFrame, target: str = "vote", max_bins: int = 30, top_enti
     return out
 
 
-def column_summary(df: DataFrame, cols, exact_limit: int = EXACT_LIMIT) -> DataFrame:
+def column_summary(df: DataFrame, cols, exact_limit: int | None = None) -> DataFrame:
     """Per column: distinct count, min, max, mean, sample std, quartiles and
     median (exact), share of the most frequent value. Three jobs for all
     columns together: moments, quantiles, and one (column, value) count
