@@ -81,11 +81,12 @@ def to_int(df, name: str) -> Column:
 
 
 _TIME_RE = r"([T ]\s*\d{1,2}:\d{2}.*)?$"
+_HALF_DAY_RE = r"(?i)^[T ]\s*(\d{1,2})(:\d{2}(?::\d{2}(?:\.\d+)?)?)\s*([ap])\.?m\.?\s*$"
 _MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 _MONTH_RE = (r"(jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|sept?(?:ember)?"
              r"|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)")
-# Date forms tried in order after ISO text: (regex, groups of year, month, day, time).
-# 01/02/2003 is 2 January (month first); 13/02/2003 can only be 13 February.
+# Date forms after ISO text: (regex, groups of year, month, day, time). 01/02/2003 is 2 January
+# in the first form and 1 February in the second.
 DATE_FORMS = (
     (r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})" + _TIME_RE, (3, 1, 2, 4)),
     (r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d{4})" + _TIME_RE, (3, 2, 1, 4)),
@@ -93,27 +94,47 @@ DATE_FORMS = (
     (r"^(\d{4})(\d{2})(\d{2})" + _TIME_RE, (1, 2, 3, 4)),
     (r"(?i)^(\d{1,2})[ -]" + _MONTH_RE + r"\.?,?[ -](\d{4})" + _TIME_RE, (3, 2, 1, 4)),
     (r"(?i)^" + _MONTH_RE + r"\.? (\d{1,2}),? (\d{4})" + _TIME_RE, (3, 1, 2, 4)),
+    (r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d{2})" + _TIME_RE, (3, 1, 2, 4)),
+    (r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d{2})" + _TIME_RE, (3, 2, 1, 4)),
 )
+#: Two-digit years from here on are of the 20th century.
+CENTURY_FROM = 69
 
 
-def parse_date(c, kind: str) -> Column:
-    """Text (or a date / timestamp) -> ``kind``: ISO, else the first of ``DATE_FORMS`` that gives a date, else NULL."""
+def _time_of_day(t: Column) -> Column:
+    """Time text as `` hh:mm...``; 12-hour times become 24-hour ones."""
+    hour = F.regexp_extract(t, _HALF_DAY_RE, 1).try_cast("int")
+    late = F.when(F.lower(F.regexp_extract(t, _HALF_DAY_RE, 3)) == "p", 12).otherwise(0)
+    half = F.concat(F.lit(" "), (hour % 12 + late).cast("string"), F.regexp_extract(t, _HALF_DAY_RE, 2))
+    return F.when(t.rlike(_HALF_DAY_RE) & hour.between(1, 12), half).otherwise(F.regexp_replace(t, r"^[T ]\s*", " "))
+
+
+def read_date(c, form: int, kind: str) -> Column:
+    """Text -> ``kind`` under one form: 0 is ISO, i is ``DATE_FORMS[i - 1]``; NULL if it isn't of that form."""
     s = strip(col(c).cast("string"))
-    tries = [s.try_cast(kind)]
-    for rx, (y, m, d, t) in DATE_FORMS:
-        month = F.regexp_extract(s, rx, m)
-        if _MONTH_RE in rx:
-            names = F.array(*[F.lit(x) for x in _MONTHS])
-            month = F.array_position(names, F.lower(F.substring(month, 1, 3))).cast("string")
-        iso = F.concat(F.concat_ws("-", F.regexp_extract(s, rx, y), month, F.regexp_extract(s, rx, d)),
-                       F.regexp_replace(F.regexp_extract(s, rx, t), r"^[T ]\s*", " "))
-        tries.append(F.when(s.rlike(rx), F.trim(iso).try_cast(kind)))
-    return F.coalesce(*tries)
-
-
-def year_from_date(c) -> Column:
+    if form == 0:
+        return s.try_cast(kind)
+    rx, (y, m, d, t) = DATE_FORMS[form - 1]
+    month, year = F.regexp_extract(s, rx, m), F.regexp_extract(s, rx, y)
+    if _MONTH_RE in rx:
+        names = F.array(*[F.lit(x) for x in _MONTHS])
+        month = F.array_position(names, F.lower(F.substring(month, 1, 3))).cast("string")
+    year = F.when(F.length(year) == 2, F.concat(F.when(year >= f"{CENTURY_FROM}", "19").otherwise("20"), year)).otherwise(year)
+    iso = F.concat(F.concat_ws("-", year, month, F.regexp_extract(s, rx, d)), _time_of_day(F.regexp_extract(s, rx, t)))
+    return F.when(s.rlike(rx), F.trim(iso).try_cast(kind))
+
+
+def parse_date(c, kind: str, form: int | None = None) -> Column:
+    """Text (or a date / timestamp) -> ``kind`` under one form of the column, or without one:
+    ISO, else the first of ``DATE_FORMS`` that gives a date, else NULL."""
+    if form is not None:
+        return read_date(c, form, kind)
+    return F.coalesce(*[read_date(c, i, kind) for i in range(len(DATE_FORMS) + 1)])
+
+
+def year_from_date(c, form: int | None = None) -> Column:
     """Date text of a known form (or a date / timestamp) -> year INT."""
-    return F.year(parse_date(c, "date"))
+    return F.year(parse_date(c, "date", form))
 
 
 def year_from_session(c) -> Column:

@@ -11,7 +11,7 @@ import re
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -178,10 +178,22 @@ def clean_text_columns(df: DataFrame, cols=None) -> DataFrame:
     return df.withColumns({c: S.clean_text(F.col(_q(c))) for c in cols})
 
 
+def date_forms(df: DataFrame, cols, kind: str = "timestamp_ntz") -> dict:
+    """{column: form}: the one form (``scalars.read_date``) that reads most of a column's
+    values, the earlier one of several that read as many. One aggregate counts all forms of all columns."""
+    cols, n = list(cols), len(S.DATE_FORMS) + 1
+    if not cols:
+        return {}
+    r = df.agg(*[F.count(S.read_date(F.col(_q(c)), i, kind)).alias(f"_{k}_{i}")
+                 for k, c in enumerate(cols) for i in range(n)]).first()
+    return {c: max(range(n), key=lambda i: (r[f"_{k}_{i}"], -i)) for k, c in enumerate(cols)}
+
+
 def convert_types(df: DataFrame, share: float = NUMERIC_SHARE) -> DataFrame:
     """Text columns where more than ``share`` of ALL rows parse as numbers
     become DOUBLE; text columns named like '*date*' (not exactly 'date')
-    become timestamps (``scalars.DATE_FORMS``). One job for all columns' parse shares."""
+    become timestamps, each column under its one form (``date_forms``). One job for all
+    columns' parse shares, one for the forms."""
     scols = C.string_cols(df)
     out = df
     if scols:
@@ -193,7 +205,8 @@ def convert_types(df: DataFrame, share: float = NUMERIC_SHARE) -> DataFrame:
             out = out.withColumns({c: S.safe_double(F.col(_q(c))) for c in num})
     dates = [c for c in C.string_cols(out) if "date" in c.lower() and c != "date"]
     if dates:
-        out = out.withColumns({c: S.parse_date(F.col(_q(c)), "timestamp_ntz") for c in dates})
+        forms = date_forms(out, dates)
+        out = out.withColumns({c: S.parse_date(F.col(_q(c)), "timestamp_ntz", forms[c]) for c in dates})
     return out
 
 
@@ -269,12 +282,6 @@ def remove_outliers(df: DataFrame, cols=None, method: str = "iqr", strictness: s
 
 # --- pipeline ---------------------------------------------------------------------
 
-def audit(df: DataFrame, step: str):
-    """Attach a row counter to ``df``; it fills when the plan next runs."""
-    obs = Observation(step)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
-
-
 def comprehensive_clean(df: DataFrame, remove_duplicates_: bool = True, remove_outliers_: bool = True,
                         remove_constants: bool = True, clean_invalid: bool = True,
                         standardize_countries: bool = True, remove_irrelevant: bool = True,

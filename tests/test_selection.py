@@ -41,3 +41,67 @@ def test_quantiles_equal_the_percentile_of_spark(spark, digit, monkeypatch):
     got = ST.quantiles(df, cols, probs)
     for c in cols:
         assert got[c] == pytest.approx(want[c], rel=1e-12, abs=1e-320), c
+
+
+def test_sketches_of_parts_answer_for_their_union(spark):
+    df = spark.range(20_000).select(F.pmod("id", F.lit(7)).alias("part"), F.sqrt(F.col("id") % 5000).alias("x"),
+                                    F.when(F.col("id") % 3 == 0, F.lit(float("nan"))).otherwise(F.col("id") % 11).alias("y"),
+                                    F.lit(None).cast("double").alias("z"))
+    merged = ST.merge_sketches(ST.sketches(df, ["x", "y", "z"], by=["part"]))
+    probs = [0.1, 0.5, 0.9]
+    got = {r.column: r for r in ST.from_sketches(merged, probs).collect()}
+    assert (got["x"].n, got["z"].n, got["z"].quantiles) == (20_000, 0, None)
+    assert abs(got["x"].n_distinct / 5000 - 1) < 0.06 and abs(got["y"].n_distinct / 11 - 1) < 0.06
+    for q, p in zip(got["x"].quantiles, probs):
+        below = df.where(F.col("x") <= q).count() / 20_000
+        assert abs(below - p) < 0.03
+    assert {r.column: r.n_distinct for r in ST.distinct_counts(df, ["x", "y", "z"]).collect()} == {"x": 5000, "y": 11, "z": 0}
+    near = {r.column: r.n_distinct for r in ST.distinct_counts(df, ["x", "y", "z"], approx=True).collect()}
+    assert abs(near["x"] / 5000 - 1) < 0.06 and near["z"] == 0
+    exact, approx = (ST.quantiles(df, ["x"], [0.5], approx=a)["x"][0] for a in (False, True))
+    assert abs(exact - approx) < 3
+
+
+def test_distinct_sample_is_the_smallest_hashes(spark):
+    import hashlib
+    df = spark.range(3000).select(F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id") % 997).alias("a"),
+                                  F.when(F.col("id") % 3 > 0, F.lit("x")).alias("b"), F.lit(None).cast("int").alias("c"))
+    got = {}
+    for r in ST.distinct_sample(df, ["a", "b", "c"], k=15).orderBy("rank").collect():
+        got.setdefault(r.column, []).append(r.value)
+    values = {str(r.a) for r in df.select("a").distinct().collect()}
+    assert got["a"] == sorted(values, key=lambda v: hashlib.md5(f"{v}-42".encode()).hexdigest())[:15]
+    assert got["b"] == ["x"] and "c" not in got
+
+
+def test_ids_that_many_rows_share(spark):
+    from panelkit.operators import split as SP
+    df = spark.range(900).select(F.when(F.col("id") < 450, 5).otherwise(F.col("id")).alias("id"), (F.col("id") % 3 == 0).alias("label"),
+                                 F.col("id").alias("row"))
+    out = SP.stratified_rank(df, "label", "id", hot=20).collect()
+    for label in (True, False):
+        own = [r for r in out if r.label == label]
+        assert sorted(r._rank for r in own) == list(range(len(own))) and {r._n_class for r in own} == {len(own)}
+        assert [r._h for r in sorted(own, key=lambda r: r._rank)] == sorted(r._h for r in own)
+    assert sorted(r.row for r in out) == list(range(900))
+    usual = {r.row: r._rank for r in SP.stratified_rank(df, "label", "id").collect() if r.id != 5}
+    assert {r.row: r._rank for r in out if r.id != 5} == usual
+    two = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), (None, "c")], "x string, y string")
+    assert two.select(SP.hash_key(["x", "y"])).distinct().count() == 3
+
+
+def test_a_date_column_has_one_form(spark):
+    from panelkit.operators import clean as CL
+    from panelkit.operators import joins as J
+    rows = [("01/02/2003", "01/02/2003", "Feb 1, 2003 10:00 PM", "01/02/03", "2003-02-01"),
+            ("05/13/2003", "13/05/2003", "Mar 12, 2004 12:05 am", "12/31/71", "13/02/2003"),
+            ("2003-04-05", "11/12/2003", "x", "07/08/68", "2003-02-03"), (None, "31/01/2004", None, None, None)]
+    df = spark.createDataFrame(rows, "us_date string, eu_date string, long_date string, short_date string, iso_date string")
+    assert CL.date_forms(df, df.columns) == {"us_date": 1, "eu_date": 2, "long_date": 6, "short_date": 7, "iso_date": 0}
+    got = CL.convert_types(df).select(*[F.col(c).cast("string") for c in df.columns]).collect()
+    assert [r.us_date for r in got] == ["2003-01-02 00:00:00", "2003-05-13 00:00:00", None, None]
+    assert [r.eu_date and r.eu_date[:10] for r in got] == ["2003-02-01", "2003-05-13", "2003-12-11", "2004-01-31"]
+    assert [r.long_date for r in got] == ["2003-02-01 22:00:00", "2004-03-12 00:05:00", None, None]
+    assert [r.short_date and r.short_date[:10] for r in got] == ["2003-01-02", "1971-12-31", "2068-07-08", None]
+    assert [r.iso_date and r.iso_date[:10] for r in got] == ["2003-02-01", None, "2003-02-03", None]
+    assert [r.year for r in J.derive_year(df.select(F.col("eu_date").alias("date"))).collect()] == [2003, 2003, 2003, 2004]
