@@ -29,7 +29,7 @@ from panelkit.llm.text import slices, text_buffer, worker_cache
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Larger slices repeat more units, and a repeated unit costs one look-up.
-ENCODE_BYTES = 6 << 20
+ENCODE_BYTES = 2 << 20
 
 
 def _added(schema: T.StructType, *fields: T.StructField) -> T.StructType:

@@ -35,6 +35,8 @@ from panelkit.llm.text import bucket_of, slices, text_buffer, words
 FEATURES, WIDTH, RIDGE = 160, 3.0, 1.0
 FOLDS, BINS, SEED = 4, 1000, 5
 THRESHOLD = 0.7
+#: Text bytes described together; some forty bytes of arrays go with each.
+SLICE = 1 << 20
 CLASSES = ("upper", "lower", "digit", "newline", "symbol", "stop", "shout", "pipe", "comma", "high", "other")
 N_STATS = len(CLASSES) + 7
 
@@ -90,7 +92,7 @@ def document_statistics(docs: DataFrame, *carry: str) -> DataFrame:
     """(*carry, stats array<double>) of each text."""
     def task(batches):
         for batch in batches:
-            for piece in slices(batch, "_text"):
+            for piece in slices(batch, "_text", SLICE):
                 stats = statistics(*text_buffer(piece.column("_text")))
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(stats.ravel()), N_STATS).cast(pa.list_(pa.float64()))
                 yield pa.RecordBatch.from_arrays([*[piece.column(c) for c in carry], lists], [*carry, "stats"])
@@ -274,7 +276,7 @@ def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def task(batches):  # statistics, score and verdict of a slice together; a row is there once
         for batch in batches:
-            for piece in slices(batch, text):
+            for piece in slices(batch, text, SLICE):
                 good = model.score(statistics(*text_buffer(piece.column(text)))) >= THRESHOLD
                 yield piece.filter(pa.array(good))
 
