@@ -130,12 +130,3 @@ def explode_topics(df: DataFrame, column: str, out: str = "topic") -> DataFrame:
     parts = F.split(F.col(column).cast("string"), "[;,]")
     t = df.where(F.col(column).isNotNull()).select(F.explode(parts).alias("_t"))
     return t.select(S.strip("_t").alias(out)).where(F.length(out) > 2)
-
-
-def metrics_table(spark, metrics: dict) -> DataFrame:
-    """model -> {metric: value} mapping -> one row per model."""
-    names = sorted({m for v in metrics.values() for m in v})
-    rows = [(k, *[float(v.get(m)) if v.get(m) is not None else None for m in names])
-            for k, v in metrics.items()]
-    schema = "model string, " + ", ".join(f"`{m}` double" for m in names)
-    return spark.createDataFrame(rows, schema)

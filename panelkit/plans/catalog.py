@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from panelkit.plans import model_queries as MQ
+from panelkit.plans import more_queries as XQ
 from panelkit.plans import queries as Q
 
 
 def all_queries() -> dict:
-    return {**Q.QUERIES, **MQ.QUERIES}
+    return {**Q.QUERIES, **MQ.QUERIES, **XQ.QUERIES}
 
 
 def all_oracles() -> dict:
-    return {**Q.ORACLE, **MQ.ORACLE}
+    return {**Q.ORACLE, **MQ.ORACLE, **XQ.ORACLE}
