@@ -17,6 +17,7 @@ from panelkit.operators import features as FE
 from panelkit.operators import metrics as M
 from panelkit.operators import models as MD
 from panelkit.operators import split as SP
+from panelkit.plans.queries import INDICATOR_MAP, PANEL_SQL, SPENDING_SQL, _indicator_wide, _round_doubles, _spending
 from panelkit.session import cut_lineage
 from panelkit.sources.tables import table
 
@@ -290,8 +291,6 @@ def pipeline_inputs(spark, d):
     """votes-like fact (orders x customer x nation, with vote tokens, dates,
     priorities as topics, alphabetic codes), a wide-by-year indicator table
     and a spending table, all derived from the driver tables."""
-    from panelkit.plans.queries import _indicator_wide, _spending
-
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority",
                                          "o_orderstatus", "o_totalprice")
     c = table(spark, d, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
@@ -310,15 +309,45 @@ def pipeline_inputs(spark, d):
     return votes, wdi, _spending(spark, d)
 
 
-@query("pipeline_prepare")
+_OUTLIER_COLS = ["o_orderkey", "amount", "balance", "avg_quantity", "avg_discount", "avg_tax"]
+_IMPUTED = ["year", "amount", "balance", "avg_quantity", "avg_discount", "avg_tax", "military_expenditure"]
+_TEXTS = ["country_code", "date", "subjects", "ms_code", "ms_name"]
+PREPARE_SQL = f"""
+WITH {PANEL_SQL.strip()}, {SPENDING_SQL.strip()},
+votes AS (
+  SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS date, CAST(year(o_orderdate) AS INTEGER) AS year,
+         o_orderpriority AS subjects, 'N' || chr(CAST(65 + c_nationkey AS INTEGER)) || 'X' AS ms_code, lower(n_name) AS ms_name,
+         CASE o_orderstatus WHEN 'F' THEN 'Y' WHEN 'O' THEN 'N' ELSE 'A' END AS ms_vote,
+         CAST(o_totalprice AS DOUBLE) AS amount, CAST(c_acctbal AS DOUBLE) AS balance
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
+h AS (
+  SELECT v.*, v.ms_code AS country_code, p.avg_quantity, p.avg_discount, p.avg_tax, s.military_expenditure
+  FROM votes v
+  LEFT JOIN panel p ON v.ms_code = 'N' || chr(CAST(65 + CAST(p.country_code AS INTEGER) AS INTEGER)) || 'X' AND v.year = p.year
+  LEFT JOIN spending s ON upper(trim(v.ms_name)) = s.name AND v.year = s.year AND s.military_expenditure IS NOT NULL
+  WHERE v.year BETWEEN 1990 AND 2023 AND regexp_matches(v.subjects, 'urgent|high|medium', 'i')
+    AND regexp_full_match(v.ms_code, '[A-Za-z]{{3}}')),
+q AS (SELECT {", ".join(f"quantile_cont({c}, 0.25) AS a_{c}, quantile_cont({c}, 0.75) AS b_{c}" for c in _OUTLIER_COLS)}
+      FROM (SELECT DISTINCT * FROM h)),
+kept AS (SELECT h.* FROM (SELECT DISTINCT * FROM h) h, q WHERE {" + ".join(
+    f"CASE WHEN b_{c} > a_{c} AND ({c} < a_{c} - 1.5 * (b_{c} - a_{c}) OR {c} > b_{c} + 1.5 * (b_{c} - a_{c})) THEN 1 ELSE 0 END"
+    for c in _OUTLIER_COLS)} <= {len(_OUTLIER_COLS) / 2}),
+med AS (SELECT {", ".join(f"median({c}) AS m_{c}" for c in _IMPUTED)} FROM kept)
+SELECT o_orderkey, {", ".join(_TEXTS)},
+       {", ".join(f"round(CAST(coalesce({c}, m_{c}, 0) AS DOUBLE), 6) AS {c}" for c in _IMPUTED)},
+       CAST(ms_vote = 'Y' AS INTEGER) AS vote
+FROM kept, med"""
+
+
+@query("pipeline_prepare", PREPARE_SQL)
 def q_pipeline_prepare(spark, d):
-    """Harmonise -> target encode -> comprehensive clean -> impute."""
+    """Harmonise -> comprehensive clean -> impute -> target encode."""
     from panelkit.plans.pipeline import prepare
-    from panelkit.plans.queries import INDICATOR_MAP
 
     votes, wdi, sp = pipeline_inputs(spark, d)
-    return prepare(votes, wdi, sp, order_by=["o_orderkey"], topic_patterns=["urgent", "HIGH", "medium"],
-                   indicator_mapping=INDICATOR_MAP)
+    out = prepare(votes, wdi, sp, order_by=["o_orderkey"], topic_patterns=["urgent", "HIGH", "medium"],
+                  indicator_mapping=INDICATOR_MAP)
+    return _round_doubles(out)
 
 
 _SMOOTHINGS = MD.FULL_GRIDS["nb"]["var_smoothing"]

@@ -78,3 +78,34 @@ def test_read_csv_keeps_quoted_line_breaks(spark):
         f.write('id,text\n1,"two\nlines"\n2,"a ""b"""\n')
     got = {r.id: r.text for r in CSV.read_csv(spark, path).collect()}
     assert got == {"1": "two\nlines", "2": 'a "b"'}
+
+
+def test_line_breaks_are_found_by_one_scan(spark):
+    folder = tempfile.mkdtemp(prefix="pk-csv-")
+    plain, broken = os.path.join(folder, "plain.csv"), os.path.join(folder, "broken.csv")
+    with open(plain, "w") as f:
+        f.write("id,text\n" + "".join(f'{i},"a ""{i}"", b"\n' for i in range(4000)))
+    with open(broken, "w") as f:
+        f.write("id,text\n" + "".join(f'{i},"x{chr(10) if i == 3999 else " "}y"\n' for i in range(4000)))
+    assert not CSV.holds_line_breaks(spark, plain) and CSV.holds_line_breaks(spark, broken)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    try:
+        for path, splits in ((plain, True), (broken, False)):
+            df = CSV.read_csv(spark, path)
+            assert (df.select(F.spark_partition_id()).distinct().count() > 1) == splits
+            assert df.count() == 4000 and df.where("id = 3999").first().text in ('a "3999", b', "x\ny")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_spending_skips_unreadable_files(spark):
+    folder = tempfile.mkdtemp(prefix="pk-csv-")
+    open(os.path.join(folder, "a.csv"), "w").close()
+    with open(os.path.join(folder, "b.csv"), "w") as f:
+        f.write("Country,Value\nX,1\n")
+    assert CSV.load_spending(spark, folder).columns == ["Country", "Value"]
+    os.makedirs(os.path.join(folder, "none"))
+    open(os.path.join(folder, "none", "a.csv"), "w").close()
+    assert CSV.load_spending(spark, os.path.join(folder, "none")) is None
+    assert CSV.load_spending(spark, os.path.join(folder, "missing")) is None

@@ -124,3 +124,30 @@ def test_one_pass_tables_equal_single_ones(spark):
         for table, single in (("roc", M.roc_curve(p)), ("pr", M.pr_curve(p)), ("confusion", M.confusion(p)),
                               ("comparison", M.evaluate(p))):
             assert sorted(map(key, t[table].where(one).drop("model").collect())) == sorted(map(key, single.collect()))
+
+
+def test_logistic_regression_against_newton_steps(train):
+    """The L2 fit of a grid point minimises the weighted loss + |w|^2 / (2 C n), intercept free."""
+    data = MD.with_class_weights(train)
+    est, pm = MD.estimator("lr", 300)
+    model = est.copy({est.tol: 1e-10}).fit(data, pm({"C": 0.1, "penalty": "l2"}))
+    rows = data.select(vector_to_array("features").alias("x"), "label", "weight").collect()
+    x = np.array([[1.0, *r.x] for r in rows])
+    y, s = np.array([r.label for r in rows]), np.array([r.weight for r in rows])
+    w, ridge = np.zeros(4), np.diag([0, 1, 1, 1]) / (0.1 * 300)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-x @ w))
+        grad = x.T @ (s * (p - y)) / s.sum() + ridge @ w
+        hess = (x * (s * p * (1 - p))[:, None]).T @ x / s.sum() + ridge
+        w -= np.linalg.solve(hess, grad)
+    assert np.allclose([model.intercept, *model.coefficients.toArray()], w, atol=1e-4)
+
+
+def test_a_forest_of_one_tree_on_all_features_is_the_tree(train):
+    tree, pm = MD.estimator("dt", 300, weight=None)
+    forest, rf = MD.estimator("rf", 300, weight=None)
+    one = tree.fit(train, pm({"max_depth": 4, "min_samples_leaf": 1}))
+    other = forest.copy({forest.bootstrap: False}).fit(train, rf({"n_estimators": 1, "max_depth": 4, "max_features": "all"}))
+    a, b = ({r.id: r.p for r in m.transform(train).select("id", vector_to_array("probability")[1].alias("p")).collect()}
+            for m in (one, other))
+    assert all(math.isclose(a[i], b[i], abs_tol=1e-12) for i in a)
