@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from panelkit.llm.pieces import Decoder, Vocabulary, automaton
 from panelkit.llm.tables import read
-from panelkit.llm.text import slices, text_buffer, worker_cache
+from panelkit.llm.text import free_name, slices, text_buffer, worker_cache
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Larger slices repeat more units, and a repeated unit costs one look-up.
@@ -44,20 +44,22 @@ def _run(docs: DataFrame, fields: list[T.StructField], make, text_col: str, drop
 
     def task(batches):
         for batch in batches:
-            for piece in slices(batch, "_text", ENCODE_BYTES):
-                cols = make(piece)
+            for piece in slices(batch, len(carry), ENCODE_BYTES):
+                cols = make(piece.column(len(carry)))
                 for lo in range(0, piece.num_rows, 1000):
                     part = piece.slice(lo, 1000)
-                    yield pa.RecordBatch.from_arrays([*[part.column(c) for c in carry],
+                    yield pa.RecordBatch.from_arrays([*[part.column(k) for k in range(len(carry))],
                                                       *[x.slice(lo, 1000) for x in cols]], [*carry, *[f.name for f in fields]])
 
-    return docs.select(*carry, F.col(text_col).alias("_text")).mapInArrow(task, schema)
+    # the text goes last and is told by its place, so no column of the input clashes with it
+    last = free_name(carry, "encoded_text")
+    return docs.select(*[F.col(f"`{c}`") for c in carry], F.col(text_col).alias(last)).mapInArrow(task, schema)
 
 
 def encode(docs: DataFrame, vocab: Vocabulary, key: str, text_col: str = "text", drop: bool = True) -> DataFrame:
     """Add ``ids`` and ``n_pieces``; the text goes unless ``drop`` is False."""
-    def make(piece):
-        offsets, ids = automaton(vocab, key).encode(*text_buffer(piece.column("_text")))
+    def make(texts):
+        offsets, ids = automaton(vocab, key).encode(*text_buffer(texts))
         lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
         return [lists, pa.array(np.diff(offsets))]
 
@@ -67,8 +69,8 @@ def encode(docs: DataFrame, vocab: Vocabulary, key: str, text_col: str = "text",
 
 def count_tokens(docs: DataFrame, vocab: Vocabulary, key: str, text_col: str = "text", drop: bool = True) -> DataFrame:
     """Add ``n_tokens``: the pieces of the best segmentation, only counted."""
-    def make(piece):
-        return [pa.array(automaton(vocab, key).counts(*text_buffer(piece.column("_text"))))]
+    def make(texts):
+        return [pa.array(automaton(vocab, key).counts(*text_buffer(texts)))]
 
     return _run(docs, [T.StructField("n_tokens", T.LongType())], make, text_col, drop)
 

@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from panelkit.llm.components import components, local_labels
 from panelkit.llm.tables import cut_lineage, read
-from panelkit.llm.text import fold_case, mix, slices, text_buffer, words
+from panelkit.llm.text import fold_case, free_name, mix, slices, text_buffer, words
 
 N, THRESHOLD = 5, 0.8
 BANDS, ROWS = 36, 5
@@ -351,9 +351,10 @@ def near_groups(docs: DataFrame) -> DataFrame:
 
 def one_of_each_group(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with the smallest id of their group; texts without words stay."""
+    own = free_name(docs.columns, "kept_id")
     keep = near_groups(docs).filter((F.col("doc_id") <= F.col("class_id")) | F.col("doc_id").isNull()
-                                    | F.col("class_id").isNull()).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(keep, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+                                    | F.col("class_id").isNull()).select(F.col("doc_id").alias(own)).distinct()
+    return docs.join(keep, F.col("doc_id").eqNullSafe(F.col(own)), "left_semi")
 
 
 def op6_jaccard(spark, sf_dir: str) -> DataFrame:

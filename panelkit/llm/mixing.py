@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelkit.llm.tables import cut_lineage, read
-from panelkit.llm.text import words_column
+from panelkit.llm.text import free_name, words_column
 
 SHARE = 1.5
 MAX_EPOCHS = 2.0
@@ -128,10 +128,12 @@ def mixed_rows(docs: DataFrame, **how) -> DataFrame:
     Ids should be unique; rows that share an id are taken equally often (the
     most that any of them is).
     """
-    reps = mix(docs, **how).filter("reps > 0").groupBy("doc_id").agg(F.max("reps").alias("_reps"))
-    reps = reps.withColumnRenamed("doc_id", "_id")
-    out = docs.join(reps, F.col("doc_id").eqNullSafe(F.col("_id")))
-    return out.withColumn("_rep", F.explode(F.sequence(F.lit(1), F.col("_reps").cast("int")))).select(docs.columns)
+    own, times, at = (free_name(docs.columns, n) for n in ("mix_id", "mix_reps", "mix_rep"))
+    reps = mix(docs, **how).filter("reps > 0").groupBy("doc_id").agg(F.max("reps").alias(times))
+    reps = reps.withColumnRenamed("doc_id", own)
+    out = docs.join(reps, F.col("doc_id").eqNullSafe(F.col(own)))
+    return out.withColumn(at, F.explode(F.sequence(F.lit(1), F.col(times).cast("int")))).select(
+        *[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op1_mixing(spark, sf_dir: str) -> DataFrame:

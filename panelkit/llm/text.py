@@ -42,6 +42,14 @@ def words_column(c: Column) -> Column:
     return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, r"[\x20\x09-\x0D]+"))
 
 
+def free_name(columns, stem: str) -> str:
+    """A column name that isn't among ``columns`` (in any case)."""
+    taken = {c.lower() for c in columns}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem
+
+
 def bucket_of(c: Column, n: int) -> Column:
     """crc32 of an id as text, modulo n. A null id counts as the empty text."""
     return F.pmod(F.crc32(F.coalesce(c.cast("string"), F.lit(""))), F.lit(n))
@@ -58,7 +66,7 @@ def text_buffer(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def slices(batch: pa.RecordBatch, name: str, limit: int = SLICE_BYTES):
+def slices(batch: pa.RecordBatch, name: str | int, limit: int = SLICE_BYTES):
     """The batch in runs of rows of about ``limit`` text bytes each (a longer
     text is a run of its own)."""
     if not batch.num_rows:
