@@ -176,9 +176,11 @@ def fit_many(data: DataFrame, fits: list[Fit], rounds: int, features: str = "fea
             on = best > MIN_GAIN
             m, i, f, b, left, both = m[on], i[on], f[on], b[on], left[on], both[on]
             feature[m, i], cut[m, i], gains[m, i] = f, b, best[on]
+            grow = []
             for child, sums in ((2 * i + 1, left), (2 * i + 2, both - left)):
                 value[m, child] = _leaf(sums[:, 0], sums[:, 1], rate[m])
-            grow = [(x, int(c)) for x, j in zip(m.tolist(), i.tolist()) for c in (2 * j + 1, 2 * j + 2)]
+                large = sums[:, 1] >= 2 * MIN_CHILD  # smaller ones can't have two children
+                grow += zip(m[large].tolist(), child[large].tolist())
         for m, fit in enumerate(fits):
             own = 2 ** (fit.depth + 1) - 1
             fit.trees.append((feature[m, :own], cut[m, :own], value[m, :own].astype(np.float32), gains[m, :own]))
