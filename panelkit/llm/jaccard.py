@@ -56,6 +56,8 @@ WIDE = 64
 #: Rows of (long, long) that may be broadcast: 16 MB.
 SMALL = 1_000_000
 SEED = 11
+#: Text bytes that a task sketches together.
+SLICE = 1 << 20
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray):
@@ -122,7 +124,7 @@ def surviving(sig: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray
 
 def _sketch_task(batches):
     for batch in batches:
-        for piece in slices(batch, "text"):
+        for piece in slices(batch, "text", SLICE):
             s, begin = shingles(*text_buffer(piece.column("text")))
             some = np.flatnonzero(np.diff(begin))
             sigs: list = [None] * piece.num_rows
