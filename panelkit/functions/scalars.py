@@ -97,6 +97,8 @@ DATE_FORMS = (
     (r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d{2})" + _TIME_RE, (3, 1, 2, 4)),
     (r"^(\d{1,2})[/.-](\d{1,2})[/.-](\d{2})" + _TIME_RE, (3, 2, 1, 4)),
 )
+#: Forms whose order of month and day the text alone doesn't tell.
+MONTH_FIRST, DAY_FIRST = (1, 7), (2, 8)
 #: Two-digit years from here on are of the 20th century.
 CENTURY_FROM = 69
 
@@ -124,17 +126,16 @@ def read_date(c, form: int, kind: str) -> Column:
     return F.when(s.rlike(rx), F.trim(iso).try_cast(kind))
 
 
-def parse_date(c, kind: str, form: int | None = None) -> Column:
-    """Text (or a date / timestamp) -> ``kind`` under one form of the column, or without one:
-    ISO, else the first of ``DATE_FORMS`` that gives a date, else NULL."""
-    if form is not None:
-        return read_date(c, form, kind)
-    return F.coalesce(*[read_date(c, i, kind) for i in range(len(DATE_FORMS) + 1)])
+def parse_date(c, kind: str, day_first: bool | None = None) -> Column:
+    """Text (or a date / timestamp) -> ``kind``: ISO, else the first of ``DATE_FORMS`` that gives a
+    date, else NULL. With ``day_first`` given, the forms of the other order are left out."""
+    other = () if day_first is None else MONTH_FIRST if day_first else DAY_FIRST
+    return F.coalesce(*[read_date(c, i, kind) for i in range(len(DATE_FORMS) + 1) if i not in other])
 
 
-def year_from_date(c, form: int | None = None) -> Column:
+def year_from_date(c, day_first: bool | None = None) -> Column:
     """Date text of a known form (or a date / timestamp) -> year INT."""
-    return F.year(parse_date(c, "date", form))
+    return F.year(parse_date(c, "date", day_first))
 
 
 def year_from_session(c) -> Column:

@@ -178,22 +178,26 @@ def clean_text_columns(df: DataFrame, cols=None) -> DataFrame:
     return df.withColumns({c: S.clean_text(F.col(_q(c))) for c in cols})
 
 
-def date_forms(df: DataFrame, cols, kind: str = "timestamp_ntz") -> dict:
-    """{column: form}: the one form (``scalars.read_date``) that reads most of a column's
-    values, the earlier one of several that read as many. One aggregate counts all forms of all columns."""
-    cols, n = list(cols), len(S.DATE_FORMS) + 1
+def day_first(df: DataFrame, cols, kind: str = "timestamp_ntz") -> dict:
+    """{column: whether its numeric dates put the day first}: the order that reads more of the column's
+    values, month first if both read as many. One aggregate for all columns."""
+    cols = list(cols)
     if not cols:
         return {}
-    r = df.agg(*[F.count(S.read_date(F.col(_q(c)), i, kind)).alias(f"_{k}_{i}")
-                 for k, c in enumerate(cols) for i in range(n)]).first()
-    return {c: max(range(n), key=lambda i: (r[f"_{k}_{i}"], -i)) for k, c in enumerate(cols)}
+
+    def read(c, forms):
+        return F.count(F.coalesce(*[S.read_date(F.col(_q(c)), i, kind) for i in forms]))
+
+    r = df.agg(*[read(c, forms).alias(f"{name}{k}") for k, c in enumerate(cols)
+                 for name, forms in (("m", S.MONTH_FIRST), ("d", S.DAY_FIRST))]).first()
+    return {c: r[f"d{k}"] > r[f"m{k}"] for k, c in enumerate(cols)}
 
 
 def convert_types(df: DataFrame, share: float = NUMERIC_SHARE) -> DataFrame:
     """Text columns where more than ``share`` of ALL rows parse as numbers
     become DOUBLE; text columns named like '*date*' (not exactly 'date')
-    become timestamps, each column under its one form (``date_forms``). One job for all
-    columns' parse shares, one for the forms."""
+    become timestamps (``scalars.DATE_FORMS``), each column in one order of month and day
+    (``day_first``). One job for all columns' parse shares, one for the orders."""
     scols = C.string_cols(df)
     out = df
     if scols:
@@ -205,8 +209,8 @@ def convert_types(df: DataFrame, share: float = NUMERIC_SHARE) -> DataFrame:
             out = out.withColumns({c: S.safe_double(F.col(_q(c))) for c in num})
     dates = [c for c in C.string_cols(out) if "date" in c.lower() and c != "date"]
     if dates:
-        forms = date_forms(out, dates)
-        out = out.withColumns({c: S.parse_date(F.col(_q(c)), "timestamp_ntz", forms[c]) for c in dates})
+        order = day_first(out, dates)
+        out = out.withColumns({c: S.parse_date(F.col(_q(c)), "timestamp_ntz", order[c]) for c in dates})
     return out
 
 

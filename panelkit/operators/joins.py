@@ -50,14 +50,14 @@ def join_panel(fact: DataFrame, panel: DataFrame, keys=("country_code", "year"),
 
 
 def derive_year(votes: DataFrame) -> DataFrame:
-    """``year`` INT from year, else date (the one form that reads most of the column), else session
+    """``year`` INT from year, else date (the column in one order of month and day), else session
     (1945 + session), else the first column named like '*year*'."""
     cols = votes.columns
     if "year" in cols:
         y = S.to_int(votes, "year")
     elif "date" in cols:
         text = votes.schema["date"].dataType.simpleString() == "string"
-        y = S.year_from_date("date", CL.date_forms(votes, ["date"], "date")["date"] if text else None)
+        y = S.year_from_date("date", CL.day_first(votes, ["date"], "date")["date"] if text else None)
     elif "session" in cols:
         y = S.year_from_session("session")
     else:

@@ -90,18 +90,19 @@ def test_ids_that_many_rows_share(spark):
     assert two.select(SP.hash_key(["x", "y"])).distinct().count() == 3
 
 
-def test_a_date_column_has_one_form(spark):
+def test_a_date_column_has_one_order(spark):
     from panelkit.operators import clean as CL
     from panelkit.operators import joins as J
     rows = [("01/02/2003", "01/02/2003", "Feb 1, 2003 10:00 PM", "01/02/03", "2003-02-01"),
             ("05/13/2003", "13/05/2003", "Mar 12, 2004 12:05 am", "12/31/71", "13/02/2003"),
             ("2003-04-05", "11/12/2003", "x", "07/08/68", "2003-02-03"), (None, "31/01/2004", None, None, None)]
     df = spark.createDataFrame(rows, "us_date string, eu_date string, long_date string, short_date string, iso_date string")
-    assert CL.date_forms(df, df.columns) == {"us_date": 1, "eu_date": 2, "long_date": 6, "short_date": 7, "iso_date": 0}
+    assert CL.day_first(df, df.columns) == {"us_date": False, "eu_date": True, "long_date": False, "short_date": False,
+                                            "iso_date": True}
     got = CL.convert_types(df).select(*[F.col(c).cast("string") for c in df.columns]).collect()
-    assert [r.us_date for r in got] == ["2003-01-02 00:00:00", "2003-05-13 00:00:00", None, None]
+    assert [r.us_date for r in got] == ["2003-01-02 00:00:00", "2003-05-13 00:00:00", "2003-04-05 00:00:00", None]
     assert [r.eu_date and r.eu_date[:10] for r in got] == ["2003-02-01", "2003-05-13", "2003-12-11", "2004-01-31"]
     assert [r.long_date for r in got] == ["2003-02-01 22:00:00", "2004-03-12 00:05:00", None, None]
     assert [r.short_date and r.short_date[:10] for r in got] == ["2003-01-02", "1971-12-31", "2068-07-08", None]
-    assert [r.iso_date and r.iso_date[:10] for r in got] == ["2003-02-01", None, "2003-02-03", None]
+    assert [r.iso_date and r.iso_date[:10] for r in got] == ["2003-02-01", "2003-02-13", "2003-02-03", None]
     assert [r.year for r in J.derive_year(df.select(F.col("eu_date").alias("date"))).collect()] == [2003, 2003, 2003, 2004]
