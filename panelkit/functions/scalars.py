@@ -208,6 +208,13 @@ def order_key(c) -> Column:
     return F.when(x < 0, -bits).otherwise(bits)
 
 
+def to_order_key(value: float) -> int:
+    """The order key of a DOUBLE (a Python number)."""
+    import struct
+    bits = struct.unpack("<q", struct.pack("<d", abs(value)))[0]
+    return -bits if value < 0 else bits
+
+
 def from_order_key(key: int) -> float:
     """The DOUBLE of an order key (a Python number)."""
     import struct

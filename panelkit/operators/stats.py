@@ -8,6 +8,8 @@ never do.
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,8 +19,8 @@ from panelkit.functions import scalars as S
 from panelkit.functions.constants import EDA_ENTITY_CANDIDATES, EDA_TOPIC_CANDIDATES
 from panelkit.session import cut_lineage
 
-# Bits that a pass of the quantile selection looks at.
-DIGIT = 13
+# Bits that a pass of the quantile selection looks at, and the accuracy of the sketch before them.
+DIGIT, SKETCH = 13, 1000
 
 
 def _q(c: str) -> str:
@@ -30,48 +32,49 @@ def _q(c: str) -> str:
 def quantiles(df: DataFrame, cols, probs, exact_limit: int | None = None, approx: bool = False) -> dict:
     """Exact quantiles with linear interpolation: {col: [value per prob]}; with ``approx`` those of ``approx_quantiles``.
 
-    Radix selection, the same at every size, for all columns and ranks together.
-    Each value is its order-preserving 64-bit image (``scalars.order_key``). A
-    pass counts the values by the next ``DIGIT`` bits, under the leading bits that
-    the wanted ranks have so far; the digit that holds a rank goes on. A rank is
-    found when its digit holds one distinct value, after ``64 / DIGIT`` passes at most (two
-    or three as a rule). A pass is one partially aggregated job, and the driver sees at
-    most ``2^DIGIT`` counts a column and rank. ``exact_limit`` has no effect any more.
+    One plan at every size, for all columns and ranks together. A sketch of each column
+    names bounds close around each rank; a count of the values below and between
+    them says exactly where the rank lies (a rank that the sketch missed goes on outside
+    the bounds). The values between the bounds, about 0.4 % of the rows and those
+    equal to a bound, are then counted by digits of their order-preserving 64-bit image
+    (``scalars.order_key``); the digit that holds a rank gives the next bounds, until they
+    meet: one or two passes as a rule, ``64 / DIGIT`` at most. All other rows only meet
+    plain comparisons. The driver sees at most ``2^DIGIT`` + 1 counts a column and
+    rank. ``exact_limit`` has no effect any more.
     """
     cols, probs = list(cols), [float(p) for p in probs]
-    if not cols:
-        return {}
+    if not cols or not probs:
+        return {c: [] for c in cols}
     if approx:
         return approx_quantiles(df, cols, probs)
-    pairs = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), S.order_key(F.col(_q(c))).alias("key"))
-                                for k, c in enumerate(cols)]))
-    keys = df.select(pairs.alias("p")).select("p.*").where(F.col("key").isNotNull())
-    found: dict = {}   # (column, rank) -> key
-    prefix: dict = {}  # (column, rank) -> (leading bits, rank among the values that have them)
-    size, shift, up = {}, 64, None
-    while shift > 0:
-        up, shift = shift, max(0, shift - DIGIT)
-        digit = F.shiftright("key", shift)
-        if prefix:
-            wanted = df.sparkSession.createDataFrame(sorted({(k, p) for (k, _), (p, _) in prefix.items()}), "k int, lead long")
-            rows = keys.withColumn("lead", F.shiftright("key", up)).join(F.broadcast(wanted), ["k", "lead"])  # a row a rank
-        else:
-            rows = keys
-        counted = rows.groupBy("k", digit.alias("digit")).agg(
+    x = [S.nan_to_null(F.col(_q(c)).cast("double")) for c in cols]
+    near = [min(1.0, max(0.0, p + d)) for p in probs for d in (-2 / SKETCH, 2 / SKETCH)]
+    first = df.agg(*[F.count(v).alias(f"n{k}") for k, v in enumerate(x)],
+                   *[F.percentile_approx(v, near, SKETCH).alias(f"q{k}") for k, v in enumerate(x)]).first()
+    size = {k: first[f"n{k}"] for k in range(len(cols)) if first[f"n{k}"]}
+    bounds: dict = {}  # (column, rank) -> (low, high) values
+    for k, n in size.items():
+        for i, p in enumerate(probs):
+            low = math.floor(p * (n - 1))
+            bounds |= {(k, rank): tuple(first[f"q{k}"][2 * i:2 * i + 2]) for rank in (low, min(n - 1, low + 1))}
+    found, prefix = _placed(df, x, bounds)
+    while prefix:
+        spans = sorted({(k, lo, hi) for (k, _), (lo, hi, _) in prefix.items()})
+        inside = [x[k].between(S.from_order_key(lo), S.from_order_key(hi)) for k, lo, hi in spans]
+        # so that at most 2^DIGIT + 1 digits lie between the bounds
+        shift = [max(0, (hi - lo).bit_length() - DIGIT) for _, lo, hi in spans]
+        rows = F.explode(F.array(*[F.struct(F.lit(j).alias("j"), F.when(inside[j], x[k]).alias("v"), F.lit(shift[j]).alias("shift"))
+                                   for j, (k, _, _) in enumerate(spans)]))
+        # the image is worked out behind the explode, where its long expression occurs once
+        rows = df.where(reduce(or_, inside)).select(rows.alias("p")).select("p.*").where(F.col("v").isNotNull())
+        counted = rows.select("j", "shift", S.order_key("v").alias("key")).groupBy(
+            "j", F.expr("shiftright(key, shift)").alias("digit")).agg(
             F.count("*").alias("n"), F.min("key").alias("lo"), F.max("key").alias("hi")).collect()
-        if not size:
-            for r in counted:
-                size[r.k] = size.get(r.k, 0) + r.n
-            for k, n in size.items():
-                for p in probs:
-                    low = math.floor(p * (n - 1))
-                    prefix |= {(k, rank): (None, rank) for rank in (low, min(n - 1, low + 1))}
-        by_lead: dict = {}
+        by_span: dict = {}
         for r in sorted(counted, key=lambda r: r.digit):
-            lead = r.digit >> (up - shift) if up < 64 else None
-            by_lead.setdefault((r.k, lead), []).append(r)
-        for (k, rank), (lead, left) in list(prefix.items()):
-            for r in by_lead[k, lead]:
+            by_span.setdefault(spans[r.j], []).append(r)
+        for (k, rank), (lo, hi, left) in list(prefix.items()):
+            for r in by_span[k, lo, hi]:
                 if left < r.n:
                     break
                 left -= r.n
@@ -79,9 +82,7 @@ def quantiles(df: DataFrame, cols, probs, exact_limit: int | None = None, approx
                 found[k, rank] = r.lo
                 del prefix[k, rank]
             else:
-                prefix[k, rank] = (r.digit, left)
-        if not prefix:
-            break
+                prefix[k, rank] = (r.lo, r.hi, left)
     out = {}
     for k, c in enumerate(cols):
         out[c] = [None] * len(probs) if k not in size else []
@@ -93,6 +94,31 @@ def quantiles(df: DataFrame, cols, probs, exact_limit: int | None = None, approx
     return out
 
 
+def _placed(df: DataFrame, x, bounds: dict) -> tuple[dict, dict]:
+    """({(column, rank): key} of ranks that are found, {(column, rank): (low key, high key, rank between them)} of the
+    others) from one count of the values below and up to each pair of bounds."""
+    pairs = sorted({(k, lo, hi) for (k, _), (lo, hi) in bounds.items()})
+    if not pairs:
+        return {}, {}
+    r = df.agg(*[F.count(F.when(x[k] < lo, 1)).alias(f"b{j}") for j, (k, lo, _) in enumerate(pairs)],
+               *[F.count(F.when(x[k] <= hi, 1)).alias(f"u{j}") for j, (k, _, hi) in enumerate(pairs)]).first()
+    found, prefix = {}, {}
+    end = S.to_order_key(math.inf)
+    for (k, rank), (lo, hi) in bounds.items():
+        j = pairs.index((k, lo, hi))
+        below, up_to = r[f"b{j}"], r[f"u{j}"]
+        lo, hi = S.to_order_key(lo), S.to_order_key(hi)
+        if rank < below:
+            prefix[k, rank] = (-end, lo - 1, rank)
+        elif rank >= up_to:
+            prefix[k, rank] = (hi + 1, end, rank - up_to)
+        elif lo == hi:
+            found[k, rank] = lo
+        else:
+            prefix[k, rank] = (lo, hi, rank - below)
+    return found, prefix
+
+
 # --- mergeable sketches, and the approximate forms -------------------------------
 
 #: log2 of the registers of a distinct sketch (relative error about 1.04 / 2^(LG_K / 2), 1.6 %), and the size of a
@@ -137,8 +163,9 @@ def distinct_counts(df: DataFrame, cols, approx: bool = False) -> DataFrame:
     """(column, n_distinct) of non-missing values: exact, or by a sketch (one partially aggregated job)."""
     if approx:
         return from_sketches(sketches(df, cols), [0.5]).select("column", F.col("n_distinct").cast("long").alias("n_distinct"))
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), S.order_key(F.col(_q(c))).alias("v")) for c in cols]))
-    vals = df.select(pairs.alias("p")).select("p.*").where(F.col("v").isNotNull()).distinct()
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(_q(c)).cast("double").alias("v")) for c in cols]))
+    # the image behind the explode: with one for each column the generated code is too long to compile
+    vals = df.select(pairs.alias("p")).select("p.column", S.order_key("p.v").alias("v")).where(F.col("v").isNotNull()).distinct()
     names = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
     return names.join(vals.groupBy("column").agg(F.count("*").alias("n")), "column", "left").select(
         "column", F.coalesce("n", F.lit(0)).alias("n_distinct"))

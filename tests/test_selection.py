@@ -43,6 +43,36 @@ def test_quantiles_equal_the_percentile_of_spark(spark, digit, monkeypatch):
         assert got[c] == pytest.approx(want[c], rel=1e-12, abs=1e-320), c
 
 
+@pytest.mark.parametrize("missed", [(-5.0, -5.0), (9e9, 9e9), (100.0, 100.0)])
+def test_a_rank_outside_the_bounds_of_the_sketch_is_still_exact(spark, monkeypatch, missed):
+    df = spark.createDataFrame([(float(v),) for v in [*range(500), 1e300, -float("inf"), float("inf")]], "x double")
+    x = [F.col("x")]
+    found, prefix = ST._placed(df, x, {(0, 250): missed})
+    assert not found and prefix[0, 250][0] < S.to_order_key(249.0) <= prefix[0, 250][1]
+    monkeypatch.setattr(ST.F, "percentile_approx", lambda *a: F.array(*[F.lit(m) for m in missed]))
+    assert ST.quantiles(df, ["x"], [0.5]) == {"x": [250.0]}
+
+
+def test_quantiles_of_four_columns_are_compiled(spark):
+    """Each order key stands behind the explode: no array of four of them, which Spark couldn't compile."""
+    df = spark.createDataFrame([(float(i), i * 0.5, i * 0.25, -float(i)) for i in range(300)], "a double, b double, c double, d double")
+    keys = []
+    whole = S.order_key
+
+    def counted(c):
+        keys.append(c)
+        return whole(c)
+
+    S.order_key, back = counted, whole
+    try:
+        got = ST.quantiles(df, ["a", "b", "c", "d"], [0.25, 0.75])
+        passes = len(keys)
+    finally:
+        S.order_key = back
+    assert got == {"a": [74.75, 224.25], "b": [37.375, 112.125], "c": [18.6875, 56.0625], "d": [-224.25, -74.75]}
+    assert passes <= 5  # one expression a pass, whatever the number of columns
+
+
 def test_sketches_of_parts_answer_for_their_union(spark):
     df = spark.range(20_000).select(F.pmod("id", F.lit(7)).alias("part"), F.sqrt(F.col("id") % 5000).alias("x"),
                                     F.when(F.col("id") % 3 == 0, F.lit(float("nan"))).otherwise(F.col("id") % 11).alias("y"),
