@@ -295,9 +295,13 @@ def comprehensive_clean(df: DataFrame, remove_duplicates_: bool = True, remove_o
     codes -> constant columns -> duplicates -> outliers. Falls back to the
     input if nothing is left.
 
-    With ``cut`` the frame is checkpointed (reliable, shared folder) after
-    the duplicate removal: the emptiness checks and the outlier statistics
-    then read the checkpoint instead of re-running that shuffle each time."""
+    With ``cut`` the frame is checkpointed (reliable, shared folder) after the
+    codes, so the passes of the constant columns and the duplicate removal don't
+    parse every text and date again, and after the duplicate removal: the
+    emptiness checks and the outlier statistics then read the checkpoint
+    instead of re-running that shuffle each time."""
+    from panelkit.session import cut_lineage
+
     if df.isEmpty():
         raise ValueError("comprehensive_clean: empty input")
     out = df
@@ -311,12 +315,13 @@ def comprehensive_clean(df: DataFrame, remove_duplicates_: bool = True, remove_o
         out = drop_invalid(out)
     if standardize_countries:
         out = standardize_codes(out)
+    if cut and remove_constants:
+        out = cut_lineage(out)
     if remove_constants:
         out = drop_constant(out)
     if remove_duplicates_:
         out = remove_duplicates(out)
     if cut:
-        from panelkit.session import cut_lineage
         out = cut_lineage(out)
     if remove_outliers_ and not out.isEmpty():
         out = remove_outliers(out, strictness=outlier_strictness)

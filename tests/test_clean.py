@@ -107,3 +107,14 @@ def test_comprehensive_clean(spark):
     out = CL.comprehensive_clean(df, remove_outliers_=False)
     assert "undl_link" not in out.columns
     assert sorted(r.country_code for r in out.collect()) == ["FRA", "ITA", "USA"]
+
+
+def test_statistics_of_the_cleaning_read_written_rows(spark, monkeypatch):
+    """The passes of the constant columns don't parse the texts again."""
+    df = spark.createDataFrame([(i, f" {i} ", f"0{i % 9 + 1}/02/2001", "a" if i % 2 else "b") for i in range(60)],
+                               "id int, amount string, vote_date string, kind string")
+    seen = []
+    whole = CL.drop_constant
+    monkeypatch.setattr(CL, "drop_constant", lambda d: seen.append(len(d.inputFiles())) or whole(d))
+    out = CL.comprehensive_clean(df)
+    assert seen[0] > 0 and out.count() == 60
