@@ -17,7 +17,9 @@ seen its fold. All AUCs then come from one pass over that table
 * **Naive Bayes.** Count, mean and sum of squared deviations per (fold, class) come from one
   aggregate; those of a training set are the merge of the other folds'. All
   smoothings are scored in one pass.
-* The other families (and the forests, whose random draws depend on the number
+* **Forests.** Points whose ``max_features`` rules draw the same number of features (``sqrt`` and
+  ``log2`` of 4 are both 2) are one fit.
+* The other families (and the rest of the forests, whose random draws depend on the number
   of trees and the depth) are fitted per point and fold, in parallel threads.
 
 Folds and grid points are few; rows never reach the driver.
@@ -42,12 +44,24 @@ from panelkit.session import checkpoint_dir, cut_lineage
 STAGED = {"gbt": "n_estimators", "dt": "max_depth"}
 
 
-def units(kind: str, points: list[dict]) -> list[list[int]]:
-    """Point numbers by fit: points that share one fit, else each on its own."""
+def drawn(rule, n_features: int):
+    """How many features a split of a forest draws under ``sqrt`` or ``log2``, counted as Spark does; other rules as they are."""
+    if rule == "sqrt":
+        return math.ceil(math.sqrt(n_features))
+    if rule == "log2":
+        return max(1, math.ceil(math.log(n_features) / math.log(2)))
+    return rule
+
+
+def units(kind: str, points: list[dict], n_features: int | None = None) -> list[list[int]]:
+    """Point numbers by fit: points that share one fit, else each on its own. Forests whose rules draw
+    the same number of ``n_features`` features are the same fit."""
     axis, by = STAGED.get(kind), {}
+    alike = axis or (kind == "rf" and n_features)
     for i, p in enumerate(points):
-        rest = tuple((k, v) for k, v in p.items() if k != axis)
-        by.setdefault(rest if axis else i, []).append(i)
+        rest = tuple((k, drawn(v, n_features) if k == "max_features" and n_features else v)
+                     for k, v in p.items() if k != axis)
+        by.setdefault(rest if alike else i, []).append(i)
     return list(by.values())
 
 
@@ -65,7 +79,7 @@ def held_out_scores(kind: str, data: DataFrame, points: list[dict], fold_col: st
         return _nb_scores(data, points, fold_col, features, label)
     if kind == "gbt":
         return boosted_search(data, points, fold_col, features, label, seed, list(sizes))[0]
-    jobs = [(unit, fold) for unit in units(kind, points) for fold in sizes]
+    jobs = [(unit, fold) for unit in units(kind, points, width(data, features)) for fold in sizes]
 
     def fit_and_score(job) -> DataFrame:
         unit, fold = job
@@ -78,7 +92,7 @@ def held_out_scores(kind: str, data: DataFrame, points: list[dict], fold_col: st
         if kind in STAGED:
             scored = tree_scores(model, rows, [_stage(kind, points[i]) for i in unit])
         else:
-            scored = MD.score_column(model.transform(rows), kind).withColumn("scores", F.array("score"))
+            scored = MD.score_column(model.transform(rows), kind).withColumn("scores", F.array(*["score"] * len(unit)))
         pairs = F.explode(F.arrays_zip(F.array(*[F.lit(i) for i in unit]).alias("point"), F.col("scores").alias("score")))
         out = scored.select(F.col(fold_col).cast("int").alias("fold"), F.col(label).cast("double").alias("label"),
                             pairs.alias("p")).select("p.point", "fold", "label", "p.score")

@@ -151,3 +151,14 @@ def test_a_forest_of_one_tree_on_all_features_is_the_tree(train):
     a, b = ({r.id: r.p for r in m.transform(train).select("id", vector_to_array("probability")[1].alias("p")).collect()}
             for m in (one, other))
     assert all(math.isclose(a[i], b[i], abs_tol=1e-12) for i in a)
+
+
+def test_forests_that_draw_as_many_features_are_one_fit(train, monkeypatch):
+    points = MD.grid_points({"n_estimators": [5], "max_depth": [3], "max_features": ["sqrt", "log2"]})
+    assert T.units("rf", points, 4) == [[0, 1]] and T.units("rf", points, 100) == [[0], [1]]
+    alone = [T.point_scores(T.held_out_scores("rf", train, [p]), 1)[0] for p in points]
+    made = []
+    whole = MD.estimator
+    monkeypatch.setattr(MD, "estimator", lambda *a, **k: made.append(a) or whole(*a, **k))
+    assert T.point_scores(T.held_out_scores("rf", train, points), 2) == alone
+    assert len(made) == 5  # one fit a fold
