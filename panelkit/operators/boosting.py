@@ -7,8 +7,9 @@ tree level reads the rows once and adds up, over all fits together, the
 gradients by (fit, node, feature, bin) of the nodes that still grow. A search with
 90 fits so reads the rows as often as one fit does, and starts as many jobs.
 
-The binned rows are written once in blocks. The margins of all fits travel with
-the blocks as a persisted RDD that is checkpointed every ``CHECKPOINT`` rounds, so a
+The binned rows are written once in blocks. Where these make fewer partitions than there
+are cores, the fits are dealt to groups, and each group is a task of its own for each partition. The
+margins of the fits travel with the blocks as a persisted RDD that is checkpointed every ``CHECKPOINT`` rounds, so a
 lost executor recomputes at most that many rounds. Only sums reach the driver: a
 level has at most 2^level nodes a fit, ``BINS`` bins a feature. Round k does not depend on later
 rounds, so the first k rounds are the model of k rounds; and a fit is the same,
@@ -95,40 +96,76 @@ def _open(row, n_features: int):
             np.frombuffer(row[3], np.int32))
 
 
-def descend(feature: np.ndarray, cut: np.ndarray, bins: np.ndarray, levels: int) -> np.ndarray:
-    """The node of each row in each tree, (trees, rows), after so many levels."""
-    node = np.zeros((len(feature), len(bins)), np.int64)
-    rows = np.arange(len(bins))
+def descend(feature: np.ndarray, cut: np.ndarray, flat: np.ndarray, row: np.ndarray, levels: int) -> np.ndarray:
+    """The node of a tree that each row reaches after so many levels; rows that come to a leaf go on to the left.
+
+    ``flat`` holds the bins row by row, ``row`` where each row begins in it. ``feature`` and ``cut`` are as
+    ``passable`` makes them.
+    """
+    node = np.zeros(len(row), np.intp)
     for _ in range(levels):
-        f = np.take_along_axis(feature, node, 1)
-        right = bins[rows, np.maximum(f, 0)] > np.take_along_axis(cut, node, 1)
-        node = np.where(f >= 0, 2 * node + 1 + right, node)
+        right = flat.take(row + feature.take(node)) > cut.take(node)
+        node += node
+        node += right
+        node += 1
     return node
 
 
-def _sums(element, feature, cut, slot, level, without, subsample, number, seed):
-    """Gradient and hessian sums (slots, features, bins, 2) of a block; ``slot`` numbers the growing nodes."""
-    block, bins, label, fold, margin = element
-    n_slots, n_features = int(slot.max()) + 1, bins.shape[1]
-    at = np.take_along_axis(slot, descend(feature, cut, bins, level), 1)
-    draw = np.random.default_rng([seed, block, number]).random(len(bins))
-    at = np.where((fold != without[:, None]) & (draw < subsample[:, None]), at, -1)
-    fit, row = np.nonzero(at >= 0)
-    code = at[fit, row]
-    p = 1 / (1 + np.exp(-margin[fit, row].astype(np.float64)))
-    g, h = p - label[row], p * (1 - p)
-    out = np.empty((n_slots, n_features, BINS, 2))
-    for f in range(n_features):
-        cell = code * BINS + bins[row, f]
-        for k, w in enumerate((g, h)):
-            out[:, f, :, k] = np.bincount(cell, w, n_slots * BINS).reshape(n_slots, BINS)
-    return out
+def passable(feature: np.ndarray, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Trees whose leaves send all rows to the left."""
+    leaf = feature < 0
+    return np.where(leaf, 0, feature).astype(np.intp), np.where(leaf, 255, cut).astype(np.uint8)
 
 
-def _add_round(element, feature, cut, value, levels):
-    block, bins, label, fold, margin = element
-    step = np.take_along_axis(value, descend(feature, cut, bins, levels), 1)
-    return block, bins, label, fold, (margin + step).astype(np.float32)
+def handed_down(feature: np.ndarray, value: np.ndarray, levels: int) -> np.ndarray:
+    """The values of leaves, repeated along the way to the left down to the last level."""
+    value = value.copy()
+    for level in range(levels):
+        at = np.arange(2 ** level - 1, 2 ** (level + 1) - 1)
+        value[:, 2 * at + 1] = np.where(feature[:, at] < 0, value[:, at], value[:, 2 * at + 1])
+    return value
+
+
+def _sums(elements, feature, cut, slot, span, level, without, subsample, number, seed):
+    """(fit, gradient and hessian sums (slots, features, bins, 2)) of the blocks of a partition.
+
+    ``slot`` numbers the growing nodes; those of fit m are span[m] to span[m + 1].
+    """
+    held: dict = {}
+    for block, bins, label, fold, margins in elements:
+        n_features = bins.shape[1]
+        flat, codes = bins.ravel(), bins.T.astype(np.intp)
+        draw = np.random.default_rng([seed, block, number]).random(len(bins))
+        seen: dict = {}
+        for m, margin in margins.items():
+            n = int(span[m + 1] - span[m])
+            if not n:
+                continue
+            sample = without[m], subsample[m]
+            if sample not in seen:
+                seen[sample] = np.flatnonzero((fold != sample[0]) & (draw < sample[1]))
+            row = seen[sample]
+            at = slot[m].take(descend(feature[m], cut[m], flat, row * n_features, level))
+            on = at >= 0
+            if not on.all():
+                row, at = row[on], at[on]
+            p = 1 / (1 + np.exp(-margin.take(row).astype(np.float64)))
+            g, h = p - label.take(row), p * (1 - p)
+            first = (at - span[m]) * BINS
+            out = held.setdefault(m, np.zeros((n, n_features, BINS, 2)))
+            for f in range(n_features):
+                cell = first + codes[f].take(row)
+                for k, w in enumerate((g, h)):
+                    out[:, f, :, k] += np.bincount(cell, w, n * BINS).reshape(n, BINS)
+    yield from held.items()
+
+
+def _add_round(element, feature, cut, value, depth):
+    block, bins, label, fold, margins = element
+    flat, row = bins.ravel(), np.arange(len(bins)) * bins.shape[1]
+    return block, bins, label, fold, {
+        m: (margin + value[m].take(descend(feature[m], cut[m], flat, row, depth[m]))).astype(np.float32)
+        for m, margin in margins.items()}
 
 
 def _leaf(g, h, rate):
@@ -149,11 +186,17 @@ def fit_many(data: DataFrame, fits: list[Fit], rounds: int, features: str = "fea
     without = np.array([-(1 << 30) if f.without is None else f.without for f in fits])
     deepest, size, n_fits = int(depth.max()), 2 ** (int(depth.max()) + 1) - 1, len(fits)
 
-    def start(row):
+    # few rows make few partitions: then the fits are dealt to groups, each with the rows a task group of its own
+    rows = blocks.rdd
+    context = data.sparkSession.sparkContext
+    groups = min(n_fits, max(1, -(-context.defaultParallelism // max(1, rows.getNumPartitions()))))
+
+    def start(row, own):
         opened = _open(row, n_features)
-        return (*opened, np.zeros((n_fits, len(opened[1])), np.float32))
+        return (*opened, {m: np.zeros(len(opened[1]), np.float32) for m in own})
 
-    state = blocks.rdd.map(start).persist(StorageLevel.MEMORY_AND_DISK)
+    parts = [rows.map(lambda r, own=range(k, n_fits, groups): start(r, own)) for k in range(groups)]
+    state = (context.union(parts) if groups > 1 else parts[0]).persist(StorageLevel.MEMORY_AND_DISK)
     old = None
     for number in range(rounds):
         feature = np.full((n_fits, size), -1, np.int16)
@@ -161,14 +204,20 @@ def fit_many(data: DataFrame, fits: list[Fit], rounds: int, features: str = "fea
         value, gains = np.zeros((n_fits, size)), np.zeros((n_fits, size))
         grow = [(m, 0) for m in range(n_fits)]
         for level in range(deepest):
-            grow = [(m, i) for m, i in grow if level < depth[m]]
+            grow = sorted((m, i) for m, i in grow if level < depth[m])
             if not grow:
                 break
-            slot = np.full((n_fits, size), -1, np.int64)
+            slot = np.full((n_fits, size), -1, np.int32)
             m, i = np.array(grow).T
             slot[m, i] = np.arange(len(grow))
-            total = state.map(lambda e, a=(feature, cut, slot, level, without, subsample, number, seed): _sums(e, *a)) \
-                .treeReduce(np.add)
+            span = np.searchsorted(m, np.arange(n_fits + 1))
+            walk = (*passable(feature, cut), slot, span, level, without, subsample, number, seed)
+            sums = state.mapPartitions(lambda e, a=walk: _sums(e, *a))
+            if rows.getNumPartitions() > 1:  # else a fit's sums come from one task
+                sums = sums.reduceByKey(np.add, min(n_fits, context.defaultParallelism))
+            total = np.zeros((len(grow), n_features, BINS, 2))
+            for of, own in sums.collect():  # a fit's sums have the size of its nodes, whatever the rows
+                total[span[of]:span[of + 1]] = own
             if old is not None:
                 old = old.unpersist() and None
             best, f, b, left, both = best_splits(total)
@@ -184,7 +233,8 @@ def fit_many(data: DataFrame, fits: list[Fit], rounds: int, features: str = "fea
         for m, fit in enumerate(fits):
             own = 2 ** (fit.depth + 1) - 1
             fit.trees.append((feature[m, :own], cut[m, :own], value[m, :own].astype(np.float32), gains[m, :own]))
-        old, state = state, state.map(lambda e, a=(feature, cut, value, deepest): _add_round(e, *a)).persist(
+        step = (*passable(feature, cut), handed_down(feature, value, deepest), depth)
+        old, state = state, state.map(lambda e, a=step: _add_round(e, *a)).persist(
             StorageLevel.MEMORY_AND_DISK)
         if (number + 1) % CHECKPOINT == 0:
             state.checkpoint()
@@ -215,14 +265,15 @@ def best_splits(total: np.ndarray):
 
 def staged(trees: list[np.ndarray], bins: np.ndarray, stages: list[int]) -> list[np.ndarray]:
     """The log odds of class 1 after so many rounds, for each stage."""
-    feature, cut, value = trees[:3]
-    levels = (feature.shape[1] + 1).bit_length() - 2
+    levels = (trees[0].shape[1] + 1).bit_length() - 2
+    feature, cut = passable(*trees[:2])
+    value = handed_down(trees[0], trees[2], levels)
+    flat, row = bins.ravel(), np.arange(len(bins)) * bins.shape[1]
     out = {}
     margin, done = np.zeros(len(bins)), 0
     for stage in sorted(set(stages)):
-        for lo in range(done, stage, 16):
-            part = slice(lo, min(stage, lo + 16))
-            margin = margin + np.take_along_axis(value[part], descend(feature[part], cut[part], bins, levels), 1).sum(axis=0)
+        for k in range(done, stage):
+            margin = margin + value[k].take(descend(feature[k], cut[k], flat, row, levels))
         done = stage
         out[stage] = margin
     return [out[s] for s in stages]

@@ -162,3 +162,37 @@ def test_forests_that_draw_as_many_features_are_one_fit(train, monkeypatch):
     monkeypatch.setattr(MD, "estimator", lambda *a, **k: made.append(a) or whole(*a, **k))
     assert T.point_scores(T.held_out_scores("rf", train, points), 2) == alone
     assert len(made) == 5  # one fit a fold
+
+
+def test_few_rows_spread_the_fits_over_tasks_and_change_none(spark):
+    from pyspark.ml.functions import array_to_vector
+    rows = spark.range(0, 400, 1, 1).select(
+        F.array((F.col("id") % 7).cast("double"), (F.col("id") % 11).cast("double")).alias("a"),
+        (F.col("id") % 7 > 3).cast("double").alias("label"), (F.col("id") % 2).cast("int").alias("fold"))
+    data = rows.select(array_to_vector("a").alias("features"), "label", "fold")
+    fits = [BO.Fit(depth, 0.3, 0.8, fold) for depth in (1, 3) for fold in (0, 1)]
+    sc = spark.sparkContext
+    sc.setJobGroup("spread", "spread")
+    try:
+        BO.fit_many(data, fits, 2, fold_col="fold")
+        tracker = sc.statusTracker()
+        stages = [s for j in tracker.getJobIdsForGroup("spread") for s in tracker.getJobInfo(j).stageIds]
+        assert max(tracker.getStageInfo(s).numTasks for s in stages if tracker.getStageInfo(s)) == min(4, sc.defaultParallelism)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    for fit in fits:
+        alone = BO.Fit(fit.depth, fit.rate, fit.subsample, fit.without)
+        BO.fit_many(data, [alone], 2, fold_col="fold")
+        for ours, theirs in zip(fit.trees, alone.trees):
+            assert all(np.array_equal(a, b) for a, b in zip(ours, theirs))
+
+
+def test_leaves_hand_down_what_a_row_reaches():
+    # the root splits, its left child is a leaf, its right child splits
+    feature = np.array([[0, -1, 1, -1, -1, -1, -1]])
+    cut = np.array([[3, 0, 5, 0, 0, 0, 0]], np.uint8)
+    value = np.array([[9.0, 1.0, 8.0, 0.0, 0.0, 2.0, 4.0]])
+    bins = np.array([[0, 63], [3, 0], [4, 5], [4, 6]], np.uint8)
+    walk = [x[0] for x in BO.passable(feature, cut)]
+    node = BO.descend(*walk, bins.ravel(), np.arange(4) * 2, 2)
+    assert BO.handed_down(feature, value, 2)[0][node].tolist() == [1.0, 1.0, 2.0, 4.0]
