@@ -9,6 +9,9 @@ the training rows only. Naive Bayes has SQL oracles; the Spark ML models
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -214,13 +217,18 @@ def q_rf_importance(spark, d):
 @query("compare_models")
 def q_compare_models(spark, d):
     """Train all six models, compare on the test rows, add the winning parameters of
-    each and the best-model flag."""
+    each and the best-model flag. The searches run side by side: most of their
+    jobs have fewer tasks than there are cores."""
     tr, te = prepared(spark, d)
-    preds, won = {}, []
-    for kind, name in MD.MODEL_NAMES.items():
+
+    def search(kind):
         model, params, _ = MD.grid_search(kind, tr, MD.FULL_GRIDS[kind])
-        preds[name] = MD.predict(model, te, kind, keep=("doc_id",))
-        won.append((name, str(params)))
+        return MD.predict(model, te, kind, keep=("doc_id",)), str(params)
+
+    with ThreadPool(len(MD.MODEL_NAMES)) as pool:
+        found = pool.map(inheritable_thread_target(spark)(search), MD.MODEL_NAMES, chunksize=1)
+    preds = {name: pred for name, (pred, _) in zip(MD.MODEL_NAMES.values(), found)}
+    won = [(name, params) for name, (_, params) in zip(MD.MODEL_NAMES.values(), found)]
     cmp = M.compare(preds)
     best = M.best_model(cmp).select(F.col("model").alias("_best"))
     params = spark.createDataFrame(won, "model string, params string")

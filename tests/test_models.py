@@ -67,3 +67,21 @@ def test_registered_queries_search_the_whole_grid(monkeypatch):
             pass
     assert [k for k, _ in calls] == [*MD.MODEL_NAMES, *MD.MODEL_NAMES, "lr", "lr", "rf"]
     assert all((grid or MD.FULL_GRIDS[kind]) == MD.FULL_GRIDS[kind] for kind, grid in calls)
+
+
+def test_compared_models_are_searched_side_by_side(spark, monkeypatch):
+    import threading
+
+    from panelkit.plans import model_queries as Q
+    together = threading.Barrier(len(MD.MODEL_NAMES))
+    rows = spark.createDataFrame([(1.0, 0.9, 1.0), (0.0, 0.2, 0.0)], "label double, score double, prediction double")
+
+    def search(kind, train, grid):
+        together.wait(30)
+        return kind, {"kind": kind}, None
+
+    monkeypatch.setattr(Q, "prepared", lambda spark, d: (rows, rows))
+    monkeypatch.setattr(MD, "grid_search", search)
+    monkeypatch.setattr(MD, "predict", lambda model, df, kind, keep: df)
+    got = {r.model: r.params for r in Q.q_compare_models(spark, "").collect()}
+    assert got == {name: str({"kind": kind}) for kind, name in MD.MODEL_NAMES.items()}
