@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from panelkit.llm.pieces import Decoder, Vocabulary, automaton
 from panelkit.llm.tables import read
-from panelkit.llm.text import free_name, slices, text_buffer, worker_cache
+from panelkit.llm.text import free_name, give_back, slices, text_buffer, worker_cache
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Larger slices repeat more units, and a repeated unit costs one look-up.
@@ -97,6 +97,7 @@ def decode(coded: DataFrame, vocab: Vocabulary, key: str, into: str = "text") ->
                 text = [raw[a:b].decode("utf-8", "replace") for a, b in zip(offsets[:-1], offsets[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [*[batch.column(c).slice(lo, 1000) for c in carry], pa.array(text, pa.string())], [*carry, into])
+            give_back()
 
     return coded.mapInArrow(task, schema)
 

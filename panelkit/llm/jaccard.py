@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from panelkit.llm.components import components, local_labels
 from panelkit.llm.tables import cut_lineage, read
-from panelkit.llm.text import fold_case, free_name, mix, slices, text_buffer, words
+from panelkit.llm.text import fold_case, free_name, give_back, mix, slices, text_buffer, words
 
 N, THRESHOLD = 5, 0.8
 BANDS, ROWS = 36, 5
@@ -258,6 +258,7 @@ def _candidate_task(batches):
                 held_i, held_j, n = [], [], 0
         if n and (out := leave()) is not None:
             yield out
+    give_back()
 
 
 def _verify_task(batches):
@@ -280,6 +281,7 @@ def _verify_task(batches):
             some = np.flatnonzero(links)
             yield pa.RecordBatch.from_arrays([pa.array(own[some]), pa.array(own[label[some]]),
                                               pa.array(links[some].astype(np.int64))], ["node", "root", "links"])
+    give_back()
 
 
 def _exact(s: np.ndarray, begin: np.ndarray, i: np.ndarray, j: np.ndarray):

@@ -437,3 +437,12 @@ def test_pipeline_keeps_all_without_a_model_and_shows_the_round_trip(spark, docs
     coded = corpus_pipeline.tokenize(spark, docs, "").collect()
     want = collections.Counter((r[0], hashlib.sha256((r[1] or "").encode()).hexdigest()) for r in rows)
     assert collections.Counter((r.doc_id, r.decoded_sha256) for r in coded) == want
+
+
+def test_what_a_batch_took_is_given_back(monkeypatch):
+    import pyarrow as pa
+    given = []
+    monkeypatch.setattr(text, "give_back", lambda: given.append(1), raising=False)
+    batch = pa.RecordBatch.from_arrays([pa.array(["a b", None, "c"])], ["text"])
+    assert [p.num_rows for p in text.slices(batch, "text", 1)] == [1, 1, 1] and given == [1]
+    assert list(text.slices(batch.slice(0, 0), "text")) == [] and given == [1]
