@@ -214,6 +214,14 @@ def q_rf_importance(spark, d):
     return EX.importance_frame(spark, model, FEATURES, MD.MODEL_NAMES["rf"])
 
 
+def _side_by_side(spark, run, items: list) -> list:
+    """What ``run`` gives for each item, in threads of the session; without one, one after another."""
+    if spark is None:
+        return [run(x) for x in items]
+    with ThreadPool(len(items)) as pool:
+        return pool.map(inheritable_thread_target(spark)(run), items, chunksize=1)
+
+
 @query("compare_models")
 def q_compare_models(spark, d):
     """Train all six models, compare on the test rows, add the winning parameters of
@@ -225,8 +233,7 @@ def q_compare_models(spark, d):
         model, params, _ = MD.grid_search(kind, tr, MD.FULL_GRIDS[kind])
         return MD.predict(model, te, kind, keep=("doc_id",)), str(params)
 
-    with ThreadPool(len(MD.MODEL_NAMES)) as pool:
-        found = pool.map(inheritable_thread_target(spark)(search), MD.MODEL_NAMES, chunksize=1)
+    found = _side_by_side(spark, search, list(MD.MODEL_NAMES))
     preds = {name: pred for name, (pred, _) in zip(MD.MODEL_NAMES.values(), found)}
     won = [(name, params) for name, (_, params) in zip(MD.MODEL_NAMES.values(), found)]
     cmp = M.compare(preds)
