@@ -43,7 +43,7 @@ LEAST, LONGEST, TOP, COVER, SCALE = 30, 4, 2000, 80, 2_000_000
 #: log2 of the bits of a map of fingerprints; fingerprints held by a task before it adds them up.
 BITS, HELD = 27, 500_000
 #: Text bytes that a counting pass looks at together, and the last pass (there a phrase is one row a slice).
-COUNT_SLICE, SLICE = 1 << 20, 2 << 20
+COUNT_SLICE, SLICE = 1 << 19, 1 << 20
 
 BREAK = np.zeros(256, bool)
 BREAK[[ord(c) for c in ".,;:!?"] + [0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -72,7 +72,7 @@ class Slice:
         self.starts, self.ends = _spans(self.inside, offsets)
         self.hashes = self.word_hashes()
         row = np.searchsorted(offsets, self.starts, side="right") - 1
-        breaks = np.concatenate([[0], np.cumsum(BREAK[raw])])[self.starts]
+        breaks = np.searchsorted(np.flatnonzero(BREAK[raw]), self.starts)
         new = (np.diff(row, prepend=-1) != 0) | (np.diff(breaks, prepend=0) != 0)
         self.piece = np.cumsum(new)
         self.langs, code = np.unique(np.array(piece.column("lang").to_pylist(), object).astype(str), return_inverse=True)

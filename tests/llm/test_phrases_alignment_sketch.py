@@ -110,6 +110,25 @@ def test_scores_stay_exact_beyond_64_bits(spark, monkeypatch):
     assert r.score == 2_000_000 * (big - 7) // (2 * big + 1) and (r.a, r.l, r.r) == (big - 7, big, big + 1)
 
 
+@pytest.mark.parametrize("task, most", [
+    (lambda b: collocations._count_task(b, 2, None), 40),
+    (lambda b: collocations._phrase_task(b, {2: np.full(1 << (collocations.BITS - 3), 255, np.uint8)}), 90)])
+def test_a_task_of_collocations_needs_little_beside_its_batch(task, most):
+    """The workers share an executor with its heap: MB that a task takes for itself (before: 54 and 124)."""
+    import tracemalloc
+
+    import pyarrow as pa
+    rng = random.Random(1)
+    text = [" ".join(rng.choices(WORDS, k=700)) + "." for _ in range(2000)]
+    batch = pa.record_batch([pa.array(["en"] * 2000), pa.array(text)], ["lang", "text"])
+    sum(x.num_rows for x in task(iter([batch.slice(0, 1)])))  # tables that are kept
+    tracemalloc.start()
+    assert sum(x.num_rows for x in task(iter([batch]))) > 0
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert batch.nbytes > 4 << 20 and peak < most << 20
+
+
 # --- alignment ------------------------------------------------------------------------------
 
 @pytest.fixture(scope="module")
