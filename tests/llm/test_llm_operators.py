@@ -284,6 +284,25 @@ def test_suffix_tree_tables_match_the_driver(docs):
         assert rows[0] == rows[1]
 
 
+def test_suffix_tree_leaves_no_shuffle_files_and_maps(spark, docs, rows):
+    """What learning has shuffled and sent to the tasks is gone when it ends."""
+    import os
+
+    def left():
+        disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        sent = [os.path.join(at, f) for at, _, files in os.walk(spark.sparkContext._temp_dir) for f in files]
+        return {f for f in (disk.apply(i).getName() for i in range(disk.size())) if f.startswith("shuffle_")} | {
+            f for f in sent if os.path.getsize(f) > 1 << 20}
+
+    src = docs.select("doc_id", docs.doc_id.isNull().alias("held_out"), "text")
+    src.count()  # fills the cache below it
+    before = left()
+    tree, elsewhere = suffix_tree.learn(src, small=0, heavy=300)
+    assert left() <= before and tree.depth == suffix_tree.DEPTH and elsewhere.count() > 0
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    assert suffix_tree.score(src, tree, elsewhere).count() == len(rows)
+
+
 def test_chat_round_trip(spark):
     rows = [(1, 0, "system", "a<b>\\l #x </turn>\n"), (1, 1, "user", None), (1, 2, "assistant", "\\### Assistant: </turn> ok"),
             (1, 3, "user", "é\\b"), (1, 4, "assistant", ""), (1, 5, "user", "tail"), (2, 0, "user", "only"),
