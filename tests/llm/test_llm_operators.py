@@ -292,7 +292,7 @@ def test_suffix_tree_leaves_no_shuffle_files_and_maps(spark, docs, rows):
         disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
         sent = [os.path.join(at, f) for at, _, files in os.walk(spark.sparkContext._temp_dir) for f in files]
         return {f for f in (disk.apply(i).getName() for i in range(disk.size())) if f.startswith("shuffle_")} | {
-            f for f in sent if os.path.getsize(f) > 1 << 20}
+            f for f in sent if os.path.getsize(f) >= 1 << suffix_tree.BITS - 3}
 
     src = docs.select("doc_id", docs.doc_id.isNull().alias("held_out"), "text")
     src.count()  # fills the cache below it
