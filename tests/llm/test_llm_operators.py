@@ -303,6 +303,29 @@ def test_suffix_tree_leaves_no_shuffle_files_and_maps(spark, docs, rows):
     assert suffix_tree.score(src, tree, elsewhere).count() == len(rows)
 
 
+def test_suffix_tree_scoring_keeps_sums_only(docs, rows):
+    """What scoring leaves on disk is a row a text and wave, however many keys the texts hold."""
+    import pyarrow.parquet as pq
+    src = docs.select("doc_id", docs.doc_id.isNull().alias("held_out"), "text")
+    out = suffix_tree.score(src, *suffix_tree.learn(src, small=0, heavy=0))
+    files = [f.removeprefix("file://").removeprefix("file:") for f in out.inputFiles()]
+    assert files and sum(pq.read_metadata(f).num_rows for f in files) <= len(rows) * suffix_tree.WAVES
+
+
+def test_suffix_tree_packed_columns_come_back(rows):
+    """Every row comes back once, in the range of its key; nulls of another frame's columns give nothing."""
+    import pyarrow as pa
+    key = text.mix(np.arange(5000, dtype=np.uint64))
+    batch = suffix_tree._packed(key, 7, key=key, p=key / 3.0, word=key % np.uint64(2) == 0)
+    back, p, word = (suffix_tree._values(batch, c, t) for c, t in (("key", np.uint64), ("p", np.float64), ("word", bool)))
+    assert (np.sort(back) == np.sort(key)).all() and (p == back / 3.0).all() and (word == (back % np.uint64(2) == 0)).all()
+    for part, at in zip(batch.column("part").to_pylist(), range(batch.num_rows)):
+        own = suffix_tree._values(batch.slice(at, 1), "key")
+        assert len(own) and all(int(k) * 7 >> 64 == part for k in own)
+    none = pa.RecordBatch.from_arrays([pa.nulls(3, pa.binary())], ["key"])
+    assert len(suffix_tree._values(none, "key")) == 0 and suffix_tree._packed(key[:0], 7, key=key[:0]).num_rows == 0
+
+
 def test_chat_round_trip(spark):
     rows = [(1, 0, "system", "a<b>\\l #x </turn>\n"), (1, 1, "user", None), (1, 2, "assistant", "\\### Assistant: </turn> ok"),
             (1, 3, "user", "é\\b"), (1, 4, "assistant", ""), (1, 5, "user", "tail"), (2, 0, "user", "only"),
