@@ -191,6 +191,18 @@ def nan_to_null(c) -> Column:
     return F.nanvl(col(c), F.lit(None).cast("double"))
 
 
+def share(part, whole) -> Column:
+    """part / whole as DOUBLE, as SQL without ANSI errors divides: 0 / 0 is NaN, another part of 0 infinite."""
+    a, b = col(part).cast("double"), col(whole).cast("double")
+    of_nothing = F.when(a == 0, F.lit(float("nan"))).otherwise(a * F.lit(float("inf")))
+    return F.when(b == 0, of_nothing).otherwise(a / b)
+
+
+def finite(c) -> Column:
+    """DOUBLE; NaN and infinite -> NULL."""
+    return F.when(F.abs(col(c)) < float("inf"), col(c))
+
+
 def order_key(c) -> Column:
     """The order-preserving 64-bit image of a DOUBLE: the bits of |x|, negated below 0.
 

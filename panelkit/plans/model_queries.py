@@ -15,12 +15,13 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelkit.functions import scalars as S
 from panelkit.operators import explain as EX
 from panelkit.operators import features as FE
 from panelkit.operators import metrics as M
 from panelkit.operators import models as MD
 from panelkit.operators import split as SP
-from panelkit.plans.queries import INDICATOR_MAP, PANEL_SQL, SPENDING_SQL, _indicator_wide, _round_doubles, _spending
+from panelkit.plans.queries import INDICATOR_MAP, PANEL_SQL, SPENDING_SQL, _indicator_wide, _round_doubles, _spending, share_of
 from panelkit.session import cut_lineage
 from panelkit.sources.tables import table
 
@@ -38,15 +39,11 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
-def _share(pattern: str):
-    return F.length(F.regexp_replace("text", pattern, "")) / F.col("n_chars")
-
-
 def dq_features(spark, d) -> DataFrame:
     # shares in the scan's stage: four numbers a document meet the labels, not its text
     doc = table(spark, d, "documents").select(
-        "doc_id", _share("[^a-zA-Z]").alias("letter_share"), _share("[^0-9]").alias("digit_share"),
-        _share("[^ ]").alias("space_share"), _share("[^A-Z]").alias("upper_share"))
+        "doc_id", share_of("[^a-zA-Z]").alias("letter_share"), share_of("[^0-9]").alias("digit_share"),
+        share_of("[^ ]").alias("space_share"), share_of("[^A-Z]").alias("upper_share"))
     lb = table(spark, d, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
     return doc.join(lb, "doc_id").select("doc_id", "label", *FEATURES)
 
@@ -112,9 +109,11 @@ def q_gnb_importance(spark, d):
 
 def prepared(spark, d):
     """(train, test) with scaled assembled features, folds on train."""
+    # a text without characters has no shares: they are missing, and the means stay numbers
+    df = dq_features(spark, d).withColumns({c: S.finite(c) for c in FEATURES})
     # one cut after the split flag: train, test and the scaler fit all read
     # it instead of each re-running the text features and the split windows
-    flagged = cut_lineage(SP.stratified_split(dq_features(spark, d), "label", "doc_id", 0.2, 42, "_is_test"))
+    flagged = cut_lineage(SP.stratified_split(df, "label", "doc_id", 0.2, 42, "_is_test"))
     train = flagged.where(~F.col("_is_test")).drop("_is_test")
     test = flagged.where(F.col("_is_test")).drop("_is_test")
     sc = FE.fit_scaler(train, FEATURES)

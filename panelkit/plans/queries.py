@@ -710,9 +710,14 @@ dq AS (
   FROM documents JOIN labels USING (doc_id))"""
 
 
+def share_of(pattern: str) -> F.Column:
+    """Share of a text's characters that are left without those of ``pattern``."""
+    return S.share(F.length(F.regexp_replace("text", pattern, "")), "n_chars")
+
+
 def dq(spark, d) -> DataFrame:
     """documents x labels: letter share as score, its 0.7 cut as prediction."""
-    score = F.length(F.regexp_replace("text", "[^a-zA-Z]", "")) / F.col("n_chars")
+    score = share_of("[^a-zA-Z]")
     doc = table(spark, d, "documents").select("doc_id", score.alias("score"))  # a number meets the labels, not the text
     lb = table(spark, d, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
     return (doc.join(lb, "doc_id").select("doc_id", "label", "score")
@@ -797,8 +802,7 @@ WITH s AS (SELECT source, avg(length(regexp_replace(text, '[^a-zA-Z]', '', 'g'))
 SELECT arg_min(source, (-metric, source)) AS source, round(max(metric), 6) AS metric FROM s""")
 def q_best_model(spark, d):
     doc = table(spark, d, "documents")
-    s = doc.groupBy("source").agg(F.avg(F.length(F.regexp_replace("text", "[^a-zA-Z]", "")) / F.col("n_chars"))
-                                  .alias("metric"))
+    s = doc.groupBy("source").agg(F.avg(share_of("[^a-zA-Z]")).alias("metric"))
     return _round_doubles(ST.best_by(s, "source", "metric"))
 
 
