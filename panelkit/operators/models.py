@@ -292,8 +292,13 @@ def grid_search(kind: str, train: DataFrame, grid: dict | None = None, fold_col:
     n_train = train.count()
     data = search_input(data, n_train, tuning.width(train, features)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        found = None
         if kind == "gbt":
-            long, model_of = tuning.boosted_search(data, points, fold_col, features, label, seed)
+            found = tuning.boosted_search(data, points, fold_col, features, label, seed)
+        elif kind == "rf":
+            found = tuning.forest_search(data, points, fold_col, features, label, weight, seed)
+        if found is not None:
+            long, model_of = found
         else:
             long = tuning.held_out_scores(kind, data, points, fold_col, features, label, weight, seed, parallelism)
             est, param_map = estimator(kind, n_train, features, label, weight, seed)

@@ -17,10 +17,11 @@ seen its fold. All AUCs then come from one pass over that table
 * **Naive Bayes.** Count, mean and sum of squared deviations per (fold, class) come from one
   aggregate; those of a training set are the merge of the other folds'. All
   smoothings are scored in one pass.
-* **Forests.** Points whose ``max_features`` rules draw the same number of features (``sqrt`` and
-  ``log2`` of 4 are both 2) are one fit.
-* The other families (and the rest of the forests, whose random draws depend on the number
-  of trees and the depth) are fitted per point and fold, in parallel threads.
+* **Forests.** ``forest_search`` grows one forest a fold from counts of equal binned rows (``forest``): fewer
+  trees are its first ones, less depth cuts them. Points whose ``max_features`` rules draw the same number of
+  features (``sqrt`` and ``log2`` of 4 are both 2) share it.
+* The other families (and forests on rows with too many distinct bins for that) are fitted per point and
+  fold, in parallel threads.
 
 Folds and grid points are few; rows never reach the driver.
 """
@@ -36,6 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit.operators import boosting as BO
+from panelkit.operators import forest as FO
 from panelkit.operators import metrics as MT
 from panelkit.operators import models as MD
 from panelkit.session import checkpoint_dir, cut_lineage
@@ -138,6 +140,24 @@ def boosted_search(data: DataFrame, points: list[dict], fold_col: str, features:
     return long, lambda i: whole[i].model(cuts, points[i]["n_estimators"])
 
 
+def forest_search(data: DataFrame, points: list[dict], fold_col: str, features: str, label: str, weight: str | None, seed: int):
+    """(held-out scores of all points, function giving the forest of a point on all rows) from counts of equal binned
+    rows; None where these don't stand for the rows (``forest.cells``) or a rule names no number of features."""
+    wide = width(data, features)
+    drawing = [wide if p["max_features"] == "all" else drawn(p["max_features"], wide) for p in points]
+    if not all(isinstance(k, int) for k in drawing):
+        return None
+    cells = FO.cells(data, features, label, weight, fold_col, wide)
+    if cells is None:
+        return None
+    depth = [p["max_depth"] or MD.MAX_DEPTH for p in points]
+    by: dict = {}
+    for i, p in enumerate(points):
+        by.setdefault(min(drawing[i], wide), []).append((i, p["n_estimators"], depth[i]))
+    long = FO.held_out(data, cells, list(by.items()), seed)
+    return long, lambda i: FO.fit(data, cells, min(drawing[i], wide), points[i]["n_estimators"], depth[i], seed, features)
+
+
 def tree_scores(model, rows: DataFrame, depths: list[int]) -> DataFrame:
     """``rows`` with an array ``scores``: the score of class 1 of a decision tree cut at each depth."""
     table = truncated(tree_nodes(model), depths)

@@ -109,8 +109,9 @@ def q_gnb_importance(spark, d):
 
 def prepared(spark, d):
     """(train, test) with scaled assembled features, folds on train."""
-    # a text without characters has no shares: they are missing, and the means stay numbers
-    df = dq_features(spark, d).withColumns({c: S.finite(c) for c in FEATURES})
+    # a text without characters has no shares: they are missing, and the means stay numbers;
+    # written first, as the split counts its rows before it ranks them: the texts are read once
+    df = cut_lineage(dq_features(spark, d).withColumns({c: S.finite(c) for c in FEATURES}))
     # one cut after the split flag: train, test and the scaler fit all read
     # it instead of each re-running the text features and the split windows
     flagged = cut_lineage(SP.stratified_split(df, "label", "doc_id", 0.2, 42, "_is_test"))
